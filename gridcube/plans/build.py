@@ -131,12 +131,14 @@ def build_append(store: Store, source: Source) -> int:
     for first in range(done, n_time, batch):
         last = min(first + batch, n_time)
         work = store.begin()
-        work.state = {**state, "sizes": {**source.sizes, "time": last}}
+        work.state = {**state, "sizes": {**source.sizes, "time": last}, "axis_written": n_time}
         cells = source.raw.valid_cells(steps=(first, last)).sortWithinPartitions("t", "i", "j")
         work.write_cells(cells, {"t": (first, last), "i": (0, source.sizes["lat"]), "j": (0, source.sizes["lon"])})
-        dims = source.dims()
-        fresh = (F.col("dim") == "time") & (F.col("idx") >= first) & (F.col("idx") < last)
-        work.write_dims(dims.where(fresh if first else fresh | (F.col("dim") != "time")))
+        # the axes are written ahead, once; the recorded size says how far they count
+        known = work.parent_state.get("axis_written", 0)
+        if known < n_time:
+            fresh = (F.col("dim") == "time") & (F.col("idx") >= known)
+            work.write_dims(source.dims().where(fresh if known else fresh | (F.col("dim") != "time")))
         work.commit(BATCH_MESSAGE.format(first=first, last=last - 1))
         n_batches += 1
     return n_batches

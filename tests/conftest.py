@@ -22,9 +22,9 @@ GAP = range(4, 9)
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "4g").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        SparkSession.builder.master("local[8]").appName("tests")
+        .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.wholeStage", "false").config("spark.driver.memory", "4g").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
