@@ -20,7 +20,7 @@ def cube_cells(spark, folder):
 @query("P1", f"""WITH {EVENTS_SQL} SELECT variable, t, i, j, cents FROM cells
     WHERE t >= 3 AND t < 10 AND i >= 6 AND i < 18 AND j >= 0 AND j < 3""")
 def isel_box(spark, folder):
-    box = select.isel(event_cells(spark, folder), t=(3, 10), i=(6, 18), j=(0, 3))
+    box = select.isel(event_cells(spark, folder, steps=(3, 10)), i=(6, 18), j=(0, 3))
     return box.select("variable", "t", "i", "j", "cents")
 
 

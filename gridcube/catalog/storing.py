@@ -23,7 +23,7 @@ from gridcube.plans import finalize
 from gridcube.plans.build import build_family
 from gridcube.plans.store import Store
 from gridcube.plans.verify import DEFAULT_PHASES, Audit
-from gridcube.session import cut_lineage, fresh_dir
+from gridcube.session import cut_lineage, fresh_dir, side_by_side
 from gridcube.sources.raw import ATTRS_FILE, SCHEMA
 from gridcube.sources.tables import EVENT_START, EVENTS_SQL, N_LAT, event_cells, lat_of, lon_of
 from gridcube.streaming.append import append_stream
@@ -73,11 +73,11 @@ def raw_grid(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def config_of(root: str, layout: str) -> GridConfig:
+def config_of(raw: str, root: str, layout: str) -> GridConfig:
     spatial = layout == "spatial"
     return GridConfig(
         {
-            "directories": {"download": root}, "dataset": "events", "version": "v1.0a", "variables": "all",
+            "directories": {"raw": raw, "download": root}, "dataset": "events", "version": "v1.0a", "variables": "all",
             "output_conventions": {"filename": "{suffix}/events.{version}.{temporal_frequency}.{variable}", "suffix": layout},
             "temporal_resolution": "daily", "timesteps_per_commit": 10,
             "chunks": {"time": 1, "lat": -1, "lon": -1} if spatial else {"time": -1, "lat": 6, "lon": 1},
@@ -89,24 +89,48 @@ def config_of(root: str, layout: str) -> GridConfig:
     )
 
 
-def write_raw(spark: SparkSession, folder: str, root: str) -> None:
-    config = config_of(root, "spatial")
+# Raw trees and finished stores of this session, by input folder. Queries that only
+# read share them; a query that moves a branch builds stores of its own.
+_MADE: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, folder: str, what: str, make) -> str:
+    key = (spark.sparkContext.applicationId, folder, what)
+    if key not in _MADE or not SharedFs(spark, _MADE[key]).exists(_MADE[key]):
+        root = fresh_dir(spark, f"events-{what}")
+        make(root)
+        _MADE[key] = root
+    return _MADE[key]
+
+
+def _write_raw(spark: SparkSession, folder: str, root: str) -> None:
+    target = config_of(root, root, "spatial").raw_dir
     rows = cut_lineage(raw_grid(spark, folder))
     fs = SharedFs(spark, root)
-    for name in KEY.variables:
-        for part in range(N_DAYS // DAYS_PER_FILE):
-            one = rows.where((F.col("variable") == name) & (F.col("part") == part)).drop("variable", "part")
-            one.sortWithinPartitions("local_t", "i", "j").write.parquet(f"{config.raw_dir}/{name}/{name}_{part}.parquet")
-        attrs = {"variable": {"standard_name": name, "long_name": f"{name} value", "units": "W.m-2"}, "global": {}}
-        fs.write_new(f"{config.raw_dir}/{name}/{ATTRS_FILE}", json.dumps(attrs))
 
+    def write(piece):
+        name, part = piece
+        one = rows.where((F.col("variable") == name) & (F.col("part") == part)).drop("variable", "part")
+        one.sortWithinPartitions("local_t", "i", "j").write.parquet(f"{target}/{name}/{name}_{part}.parquet")
 
-def built(spark: SparkSession, folder: str, *layouts: str) -> list[GridConfig]:
-    root = fresh_dir(spark, "events")
-    write_raw(spark, folder, root)
-    configs = [config_of(root, layout) for layout in layouts]
-    for config in configs:
-        build_family(spark, config)
+    side_by_side(write, [(n, p) for n in KEY.variables for p in range(N_DAYS // DAYS_PER_FILE)])
+    for name in KEY.variables:
+        attrs = {"variable": {"standard_name": name, "long_name": f"{name} value", "units": "W.m-2"}, "global": {}}
+        fs.write_new(f"{target}/{name}/{ATTRS_FILE}", json.dumps(attrs))
+
+
+def built(spark: SparkSession, folder: str, *layouts: str, own: bool = False) -> list[GridConfig]:
+    """Configurations of finished stores, one per layout."""
+    raw = _once(spark, folder, "raw", lambda root: _write_raw(spark, folder, root))
+    make = lambda root, layout: build_family(spark, config_of(raw, root, layout))
+    configs = []
+    for layout in layouts:
+        if own:
+            root = fresh_dir(spark, f"events-own-{layout}")
+            make(root, layout)
+        else:
+            root = _once(spark, folder, layout, lambda root, layout=layout: make(root, layout))
+        configs.append(config_of(raw, root, layout))
     return configs
 
 
@@ -133,7 +157,7 @@ def region_store(spark, folder):
     FROM stored, (VALUES ('spatial'), ('temporal')) l(layout) GROUP BY 1, 2""")
 def resumed_stores(spark, folder):
     """Both layouts rolled back to an earlier commit and built again: nothing is lost or doubled."""
-    configs = built(spark, folder, "spatial", "temporal")
+    configs = built(spark, folder, "spatial", "temporal", own=True)
     out = []
     for config in configs:
         for name in KEY.variables:
@@ -151,7 +175,7 @@ def resumed_stores(spark, folder):
     UNION ALL SELECT 'main', variable, t, i, j, value FROM stored WHERE t < 20""")
 def tagged_read(spark, folder):
     """A tag keeps showing what it named while the branch moves."""
-    (config,) = built(spark, folder, "spatial")
+    (config,) = built(spark, folder, "spatial", own=True)
     for name in KEY.variables:
         store = Store.open(spark, config.of(name).store_path)
         store.tag("v1")
@@ -207,22 +231,29 @@ def store_inventory(spark, folder):
 def verified_stores(spark, folder):
     """Checks and failures per variable, layout and phase, over stores built from the table."""
     spatial, temporal = built(spark, folder, "spatial", "temporal")
-    out = []
-    for config, other in ((spatial, temporal), (temporal, spatial)):
-        for name in KEY.variables:
-            audit = Audit(spark, config.of(name), other)
-            audit.run((*DEFAULT_PHASES, "metadata"))
-            layout = config.settings["output_conventions"]["suffix"]
-            out.append(reduce.tally(audit.report()).select(F.lit(name).alias("variable"), F.lit(layout).alias("layout"), "phase", "n_checks", "n_failed"))
-    return fold(DataFrame.unionByName, out)
+    pairs = [(c, o, n) for c, o in ((spatial, temporal), (temporal, spatial)) for n in KEY.variables]
+
+    def audited(pair):
+        config, other, name = pair
+        audit = Audit(spark, config.of(name), other)
+        audit.run((*DEFAULT_PHASES, "metadata"))
+        layout = config.settings["output_conventions"]["suffix"]
+        return [(name, layout, *check) for check in audit.checks]
+
+    checks = [row for rows in side_by_side(audited, pairs) for row in rows]
+    schema = "variable string, layout string, phase string, label string, ok boolean, detail string"
+    report = spark.createDataFrame(checks, schema)
+    return report.groupBy("variable", "layout", "phase").agg(
+        F.count(F.lit(1)).alias("n_checks"), F.count_if(~F.col("ok")).alias("n_failed")
+    )
 
 
 @query("R7 R8 K8 K11 K12 K13 A17 X25 O5")
 def finalized_stores(spark, folder):
     """Attributes, tag and collection, in that order; what is left to do afterwards."""
-    (config,) = built(spark, folder, "spatial")
-    rows = []
-    for name in KEY.variables:
+    (config,) = built(spark, folder, "spatial", own=True)
+
+    def finish(name):
         store, own = finalize.open_for(spark, config, name)
         own = GridConfig({**own.settings, "attrs": {**own.settings["attrs"], "comment": "checked"}}, KEY)
         before = finalize.status(store, own)
@@ -230,7 +261,10 @@ def finalized_stores(spark, folder):
         finalize.create_tag(store, "v1", apply=True)
         failed = finalize.collect(store, apply=True)
         after = finalize.status(store, own)
-        rows.append((name, " then ".join(before["remaining"]), " then ".join(after["remaining"]), failed, after["reachable_snapshots"]))
+        remaining = (" then ".join(s["remaining"]) for s in (before, after))
+        return (name, *remaining, failed, after["reachable_snapshots"])
+
+    rows = side_by_side(finish, list(KEY.variables))
     return spark.createDataFrame(rows, "variable string, remaining_before string, remaining_after string, gc_failed int, snapshots int")
 
 

@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcube.functions.grid import is_finite
+from gridcube.session import cut_lineage
 
 # mantissa bits per digit: 23 for float32, 52 for doubles and integers up to 2^53
 _WIDTHS = {"float": (11, 12)}
 _DOUBLE = (12, 20, 20)
+BROADCAST_ROWS = 100_000
 
 
 def order_digits(value: Column, widths: tuple[int, ...]) -> list[Column]:
@@ -41,13 +43,24 @@ def order_digits(value: Column, widths: tuple[int, ...]) -> list[Column]:
     return digits
 
 
+def _pinned(targets: DataFrame) -> tuple[DataFrame, bool]:
+    """The rank targets as a small stored table, and whether all values are known.
+
+    A row per group, percent and end. Without pinning, each level would recompute the
+    levels before it. Broadcast only up to a counted size.
+    """
+    held = cut_lineage(targets)
+    seen = held.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_v") < F.col("_w")).alias("n_open")).first()
+    return (F.broadcast(held) if seen.n <= BROADCAST_ROWS else held), seen.n_open == 0
+
+
 def exact_percentiles(
     df: DataFrame, groups: list[str], value: str, percents: list[float]
 ) -> DataFrame:
     """(groups..., percent, value): linear interpolation between closest ranks.
 
-    Only finite values count. Reads ``df`` once per digit, so pass something cheap
-    to recompute, or a checkpoint.
+    Only finite values count. ``df`` is read once per digit that is needed, two or
+    three times, so pass something cheap to recompute, or a checkpoint.
     """
     widths = _WIDTHS.get(df.schema[value].dataType.typeName(), _DOUBLE)
     names = [f"_d{k}" for k in range(len(widths))]
@@ -59,44 +72,44 @@ def exact_percentiles(
     rows = rows.select(
         *by, double.alias("_v"), *[d.alias(n) for d, n in zip(order_digits(double, widths), names)]
     )
+    before = F.col("_upto") - F.col("_n")
+    holds_rank = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= before)
 
     def histogram(source: DataFrame, keys: list[str], digit: str) -> DataFrame:
         counted = source.groupBy(*keys, digit).agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_v")
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_v"), F.max("_v").alias("_w")
         )
         inside = Window.partitionBy(*keys)
         return counted.withColumn(
             "_upto", F.sum("_n").over(inside.orderBy(digit).rowsBetween(Window.unboundedPreceding, 0))
         ).withColumn("_total", F.sum("_n").over(inside))
 
-    wanted = F.array(*[F.struct(F.lit(float(p)).alias("percent")) for p in percents])
-    first = histogram(rows, by, names[0])
-    place = F.col("percent") / 100 * (F.col("_total") - 1)
+    place = F.col("_p") / 100 * (F.col("_total") - 1)
+    end_rank = F.when(F.col("_end") == "lo", F.floor(place)).otherwise(F.ceil(place))
     targets = (
-        first.withColumn("_p", F.explode(wanted))
-        .select(*by, names[0], "_n", "_upto", "_total", "_v", F.col("_p.percent").alias("percent"))
+        histogram(rows, by, names[0])
+        .withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in percents])))
         .withColumn("_end", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
-        .withColumn("_share", place - F.floor(place))
-        .withColumn(
-            "_rank", F.when(F.col("_end") == "lo", F.floor(place)).otherwise(F.ceil(place))
+        .withColumn("_rank", end_rank)
+        .where(holds_rank)
+        .select(
+            *by, F.col("_p").alias("percent"), "_end", (place - F.floor(place)).alias("_share"),
+            (F.col("_rank") - before).alias("_rank"), names[0], "_v", "_w",
         )
-        .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
-        .withColumn("_rank", F.col("_rank") - (F.col("_upto") - F.col("_n")))
-        .select(*by, "percent", "_end", "_share", "_rank", names[0], "_v")
     )
     for level in range(1, len(widths)):
+        targets, known = _pinned(targets)
+        if known:
+            break
         keys = [*by, *names[:level]]
-        inside = rows.join(targets.select(*keys).distinct(), keys, "left_semi")
+        inside = rows.join(targets.select(*keys), keys, "left_semi")
         counted = histogram(inside, keys, names[level])
         targets = (
-            targets.drop("_v")
-            .join(counted, keys)
-            .where(
-                (F.col("_rank") < F.col("_upto"))
-                & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
+            targets.drop("_v", "_w").join(counted, keys).where(holds_rank)
+            .select(
+                *by, "percent", "_end", "_share", (F.col("_rank") - before).alias("_rank"),
+                *names[: level + 1], "_v", "_w",
             )
-            .withColumn("_rank", F.col("_rank") - (F.col("_upto") - F.col("_n")))
-            .select(*by, "percent", "_end", "_share", "_rank", *names[: level + 1], "_v")
         )
     ends = targets.groupBy(*by, "percent").agg(
         F.max(F.when(F.col("_end") == "lo", F.col("_v"))).alias("_lo"),

@@ -13,8 +13,9 @@ from gridcube.fs import SharedFs
 from gridcube.functions.fixed import (
     BATCH_MESSAGE, BLOCK_MESSAGE, BLOCK_PATTERN, CALENDAR, SKELETON_MESSAGE, TIME_UNITS,
 )
-from gridcube.functions.grid import ceil_div, day_date
+from gridcube.functions.grid import block, day_date
 from gridcube.plans.store import Store
+from gridcube.session import side_by_side
 from gridcube.sources.raw import RawVariable, axis_disagreement
 
 LOG = logging.getLogger(__name__)
@@ -30,8 +31,8 @@ class Source:
             problem = axis_disagreement(self.raw, RawVariable(spark, config, reference))
             if problem:
                 raise ValueError(problem)
-        lat, lon = (self.raw.coordinate(d).count() for d in ("lat", "lon"))
-        self.sizes = {"time": self.raw.n_steps, "lat": lat, "lon": lon}
+        extent = self.raw.extent
+        self.sizes = {"time": self.raw.n_steps, "lat": extent["n_lat"], "lon": extent["n_lon"]}
         self.chunks = config.chunks(self.sizes)
         self.strategy = config.strategy(self.chunks, self.sizes)
 
@@ -47,7 +48,9 @@ class Source:
         """What every commit of the store carries besides data."""
         published, upstream = self.raw.attrs
         variable_attrs = self.config.key.variable_attrs(published, self.config.variable)
-        coverage = derived_attrs(self.dims())
+        ends = self.raw.axis().agg(*_time_coverage()).first().asDict()
+        shape = {f"geospatial_{k}": v for k, v in self.raw.extent.items() if not k.startswith("n_")}
+        coverage = {**ends, **shape}
         return {
             "sizes": self.sizes,
             "chunks": self.chunks,
@@ -69,17 +72,21 @@ class Source:
         }
 
 
+def _time_coverage() -> list:
+    return [
+        F.date_format(day_date(F.min("days")), "yyyy-MM-dd").alias("time_coverage_start"),
+        F.date_format(day_date(F.max("days")), "yyyy-MM-dd").alias("time_coverage_end"),
+        F.lit("P1D").alias("time_coverage_resolution"),
+    ]
+
+
 def derived_attrs(dims: DataFrame) -> dict:
-    """Coverage and grid attributes, read off the axes themselves."""
+    """Coverage and grid attributes of a store, read off its axes."""
     def axis(dim, test):
         return F.when((F.col("dim") == dim) & test, F.col("value"))
 
     anywhere = F.lit(True)
-    aggregates = [
-        F.date_format(day_date(F.min("days")), "yyyy-MM-dd").alias("time_coverage_start"),
-        F.date_format(day_date(F.max("days")), "yyyy-MM-dd").alias("time_coverage_end"),
-        F.lit("P1D").alias("time_coverage_resolution"),
-    ]
+    aggregates = _time_coverage()
     for dim in ("lat", "lon"):
         step = F.max(axis(dim, F.col("idx") == 1)) - F.max(axis(dim, F.col("idx") == 0))
         aggregates += [
@@ -153,8 +160,8 @@ def committed_blocks(store: Store) -> set[tuple[int, int, int, int]]:
 def build_region(store: Store, source: Source) -> int:
     """A skeleton of axes and attributes, then one commit per block of whole series.
 
-    The rows of a block are shuffled once, by tile. A tile is one chunk, whose shape
-    is configured, so no task gets more than a chunk at a time however the land lies.
+    The rows of a block are shuffled once, by tile, and rebalanced: small partitions
+    are joined and large ones split to one file size, however the land lies.
     """
     wanted = source.config.blocks(source.chunks, source.sizes)
     if store.state().get("variables"):
@@ -183,10 +190,10 @@ def build_region(store: Store, source: Source) -> int:
         LOG.info("the store is complete, nothing to write")
     for i0, i1, j0, j1 in remaining:
         work = store.begin()
-        tile = [F.floor(F.col("i") / source.chunks["lat"]), F.floor(F.col("j") / source.chunks["lon"])]
-        cells = source.raw.valid_cells(i=(i0, i1), j=(j0, j1))
-        n_tiles = ceil_div(i1 - i0, source.chunks["lat"]) * ceil_div(j1 - j0, source.chunks["lon"])
-        cells = cells.repartition(n_tiles, *tile).sortWithinPartitions(*tile, "i", "j", "t")
+        cells = source.raw.valid_cells(i=(i0, i1), j=(j0, j1)).select(
+            "*", block(F.col("i"), source.chunks["lat"]).alias("ci"), block(F.col("j"), source.chunks["lon"]).alias("cj")
+        )
+        cells = cells.hint("rebalance", "ci", "cj").sortWithinPartitions("ci", "cj", "i", "j", "t")
         work.write_cells(cells, {"t": (0, source.sizes["time"]), "i": (i0, i1), "j": (j0, j1)})
         work.commit(BLOCK_MESSAGE.format(variable=source.config.canonical, i0=i0, i1=i1, j0=j0, j1=j1))
     return len(remaining)
@@ -212,7 +219,12 @@ def build_store(spark: SparkSession, config: GridConfig, reference: str | None =
 
 
 def build_family(spark: SparkSession, config: GridConfig, variable: str | None = None, force: bool = False) -> dict[str, int]:
-    """Every store of the layout, or the one named in either spelling."""
+    """Every store of the layout, or the one named in either spelling.
+
+    Stores do not depend on one another, so several are built at a time: their jobs
+    share the cluster, which one store's last tasks alone would leave idle.
+    """
     family = config.family(SharedFs(spark, config.raw_dir))
     names = [config.key.resolve(variable, family)] if variable else family
-    return {name: build_store(spark, config.of(name), family[0], force) for name in names}
+    one = lambda name: build_store(spark, config.of(name), family[0], force)
+    return dict(zip(names, side_by_side(one, names, config.settings.get("num_workers"))))

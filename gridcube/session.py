@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of the executors that computed it."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def side_by_side(work: Callable, items: Sequence, at_once: int | None = None) -> list:
+    """Run independent pieces of driver work, a few at a time, in order of the items.
+
+    Each piece submits Spark jobs of its own; the scheduler shares the slots out.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, at_once or 8)) as pool:
+        return list(pool.map(work, items))

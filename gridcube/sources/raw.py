@@ -73,8 +73,11 @@ class RawVariable:
     def seams(self) -> list[int]:
         return [first for _, first, _ in self.index[1:]]
 
-    def _placed(self, rows: DataFrame) -> DataFrame:
+    def _placed(self, rows: DataFrame, files: list[str]) -> DataFrame:
         """Adds the global step. The broadcast side has one row per source file."""
+        if len(files) == 1:
+            first = next(f for path, f, _ in self.index if path == files[0])
+            return rows.withColumn("t", F.col("local_t") + F.lit(first))
         starts = self.spark.createDataFrame(
             [(path.rsplit("/", 1)[1], first) for path, first, _ in self.index], "file string, _first int"
         )
@@ -83,14 +86,30 @@ class RawVariable:
     def axis(self) -> DataFrame:
         """(idx, days): the time axis, without touching the data column."""
         steps = self._scan(self.files).select("file", "local_t", "days").distinct()
-        return self._placed(steps).select(F.col("t").alias("idx"), "days")
+        return self._placed(steps, self.files).select(F.col("t").alias("idx"), "days")
 
     def coordinate(self, dim: str) -> DataFrame:
         """(idx, value) of lat or lon, from one step of the first file: files share their grid."""
         index = {"lat": "i", "lon": "j"}[dim]
-        first = self._scan(self.files[:1]).where("local_t = 0")
+        first = self._first_plane()
         return first.select(F.col(index).alias("idx"), F.col(dim).alias("value")).distinct()
 
+    def _first_plane(self) -> DataFrame:
+        return self._scan(self.files[:1]).where("local_t = 0")
+
+    @cached_property
+    def extent(self) -> dict:
+        """Size, extremes and step of both coordinates, from one plane in one job."""
+        found = []
+        for dim, index in (("lat", "i"), ("lon", "j")):
+            at = lambda k: F.max(F.when(F.col(index) == k, F.col(dim)))
+            found += [
+                F.countDistinct(index).alias(f"n_{dim}"),
+                F.round(F.min(dim), 4).alias(f"{dim}_min"), F.round(F.max(dim), 4).alias(f"{dim}_max"),
+                F.round(F.abs(at(1) - at(0)), 4).alias(f"{dim}_resolution"),
+            ]
+        return self._first_plane().agg(*found).first().asDict()
+
     def cells(
         self, steps: tuple[int, int] | None = None, days: Iterable[int] | None = None,
         i: tuple[int, int] | None = None, j: tuple[int, int] | None = None,
@@ -105,7 +124,7 @@ class RawVariable:
             if days is not None:
                 local = sorted(t - first for t in set(days) if first <= t < first + n)
                 if local:
-                    parts.append((path, F.col("local_t").isin(local)))
+                    parts.append(([path], F.col("local_t").isin(local)))
                 continue
             a, b = (0, n) if steps is None else (max(0, steps[0] - first), min(n, steps[1] - first))
             if a >= b:
@@ -113,17 +132,17 @@ class RawVariable:
             if (a, b) == (0, n):
                 whole.append(path)
             else:
-                parts.append((path, (F.col("local_t") >= a) & (F.col("local_t") < b)))
-        scans = [self._scan([path]).where(test) for path, test in parts]
-        if whole or not scans:
-            scans.append(self._scan(whole or self.files[:1]).where(F.lit(bool(whole))))
+                parts.append(([path], (F.col("local_t") >= a) & (F.col("local_t") < b)))
+        if whole or not parts:
+            parts.append((whole or self.files[:1], F.lit(bool(whole))))
+        scans = [self._placed(self._scan(files).where(test), files) for files, test in parts]
         rows = scans[0]
         for scan in scans[1:]:
             rows = rows.unionByName(scan)
         for axis, span in (("i", i), ("j", j)):
             if span is not None:
                 rows = rows.where((F.col(axis) >= span[0]) & (F.col(axis) < span[1]))
-        return self._placed(rows).select("t", "i", "j", "value")
+        return rows.select("t", "i", "j", "value")
 
     def valid_cells(self, **where) -> DataFrame:
         """Decoded cells that carry data: what a store should hold."""

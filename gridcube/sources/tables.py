@@ -29,10 +29,18 @@ def _days_since(date: Column, start: str) -> Column:
     return F.datediff(date, F.lit(start).cast("date")).cast("long")
 
 
-def event_cells(spark: SparkSession, folder: str) -> DataFrame:
-    """variable, t, i, j, date, cents: one row per non-empty cell."""
+def event_cells(spark: SparkSession, folder: str, steps: tuple[int, int] | None = None) -> DataFrame:
+    """variable, t, i, j, date, cents: one row per non-empty cell.
+
+    ``steps`` is a half-open step range. It is applied to the timestamp, so that it
+    reaches the scan; a filter on the derived ``t`` would not.
+    """
     date = F.to_date("ts")
-    rows = table(spark, folder, "events").select(
+    events = table(spark, folder, "events")
+    if steps is not None:
+        start, stop = (F.date_add(F.lit(EVENT_START).cast("date"), s) for s in steps)
+        events = events.where((date >= start) & (date < stop))
+    rows = events.select(
         F.col("event_type").alias("variable"), date.alias("date"),
         (F.col("user_id") % N_LAT).alias("i"),
         F.expr(f"user_id div {N_LAT}").alias("j"),
