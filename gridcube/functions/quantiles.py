@@ -10,7 +10,7 @@ only windows run over histograms, whose length is fixed by the digit width.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcube.functions.grid import is_finite
@@ -22,25 +22,27 @@ _DOUBLE = (12, 20, 20)
 BROADCAST_ROWS = 100_000
 
 
-def order_digits(value: Column, widths: tuple[int, ...]) -> list[Column]:
-    """Digits of a finite double, most significant first, ordered like the value."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size))
-    octave = (
-        F.when(F.pow(F.lit(2.0), guess) > size, guess - 1)
-        .when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1)
-        .otherwise(guess)
+def with_digits(rows: DataFrame, value: str, widths: tuple[int, ...], names: list[str]) -> DataFrame:
+    """Adds the digits of a finite double, most significant first, ordered like it.
+
+    Intermediate results are columns of their own, so each is computed once.
+    """
+    two = F.lit(2.0)
+    size, octave = F.abs(value), F.col("_octave")
+    rows = rows.withColumn("_octave", F.floor(F.log2(size)))
+    # log2 may round across a power of two; powers of two themselves are exact
+    rows = rows.withColumn(
+        "_octave",
+        F.when(F.pow(two, octave) > size, octave - 1).when(F.pow(two, octave + 1) <= size, octave + 1).otherwise(octave),
     )
-    sign = F.signum(value)
-    rest = size / F.pow(F.lit(2.0), octave) - 1
-    digits = []
-    for position, width in enumerate(widths):
-        scaled = rest * F.lit(float(2**width))
-        whole = F.floor(scaled)
+    rows = rows.withColumn("_rest", size / F.pow(two, octave) - 1)
+    for position, (width, name) in enumerate(zip(widths, names)):
+        rows = rows.withColumn("_rest", F.col("_rest") * F.lit(float(2**width)))
+        whole = F.floor("_rest")
         digit = whole + (octave + 1075) * F.lit(2**width) if position == 0 else whole
-        digits.append(F.when(value == 0, F.lit(0)).otherwise(sign * digit).cast("long"))
-        rest = scaled - whole
-    return digits
+        digit = F.when(F.col(value) == 0, F.lit(0)).otherwise(F.signum(value) * digit).cast("long")
+        rows = rows.withColumn(name, digit).withColumn("_rest", F.col("_rest") - whole)
+    return rows.drop("_octave", "_rest")
 
 
 def _pinned(targets: DataFrame) -> tuple[DataFrame, bool]:
@@ -69,9 +71,7 @@ def exact_percentiles(
     rows = df.where(is_finite(F.col(value)))
     if not groups:
         rows = rows.withColumn("_all", F.lit(0))
-    rows = rows.select(
-        *by, double.alias("_v"), *[d.alias(n) for d, n in zip(order_digits(double, widths), names)]
-    )
+    rows = with_digits(rows.select(*by, double.alias("_v")), "_v", widths, names)
     before = F.col("_upto") - F.col("_n")
     holds_rank = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= before)
 
