@@ -271,17 +271,17 @@ def finalized_stores(spark, folder):
 @query("K1 K2 S5", f"""WITH {EVENTS_SQL} SELECT t, i, j, CAST(CAST(cents % 100000 / 100.0 AS FLOAT) AS DOUBLE) AS value
     FROM cells WHERE cents % 7 <> 0 AND variable = 'view'""")
 def stream_append(spark, folder):
-    """The files of one variable as a stream, one micro-batch and one commit each; then
-    the query again, which finds nothing new."""
+    """One variable's days as they arrive, a commit per micro-batch; then the query once
+    more, which finds nothing new."""
     root = fresh_dir(spark, "stream")
     rows = cut_lineage(raw_grid(spark, folder).where("variable = 'view'"))
-    for part in range(N_DAYS // DAYS_PER_FILE):
-        rows.where(F.col("part") == part).drop("variable", "part").coalesce(1).write.mode("append").parquet(f"{root}/in")
     size = rows.agg((F.max("j") + 1).alias("n")).first().n
     store = Store.open_or_create(spark, f"{root}/store")
     grid = {"lat": N_LAT, "lon": size}
-    for _ in range(2):
-        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-        query = append_stream(stream, store, grid, {"time": 1, **grid}, "view", f"{root}/checkpoint")
-        query.awaitTermination()
+    n_parts = N_DAYS // DAYS_PER_FILE
+    for part in range(n_parts + 1):
+        if part < n_parts:
+            rows.where(F.col("part") == part).drop("variable", "part").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
+        append_stream(stream, store, grid, {"time": 1, **grid}, "view", f"{root}/checkpoint").awaitTermination()
     return store.cells().withColumn("value", F.col("value").cast("double"))

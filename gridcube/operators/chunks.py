@@ -51,7 +51,7 @@ def size_stats(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     middle = exact_percentiles(rows, list(by), "nbytes", [50.0]).select(
         *by, F.col("value").alias("median_bytes")
     )
-    return sums.join(middle, list(by)) if by else sums.join(F.broadcast(middle))
+    return sums.join(middle, list(by))
 
 
 def read_cost(rows: DataFrame, by: Sequence[str], chunk_mib: float) -> DataFrame:

@@ -1,7 +1,8 @@
 """netCDF source files as a Spark data source.
 
 One input partition per (file, slab of time steps), so a file is read by as many
-tasks as it has slabs and no task holds more than one slab. Filters on ``local_t``,
+tasks as it has slabs and no task holds more than one slab. With the option
+``header`` only the time axis of each file is read, and no data. Filters on ``local_t``,
 ``i`` and ``j`` shrink the hyperslabs where Spark pushes them down. Masking and
 scaling stay off: the sentinel arrives as the file holds it.
 
@@ -25,6 +26,8 @@ from pyspark.sql.datasource import (
 COLUMNS = (
     "local_t INT, days BIGINT, i INT, j INT, lat DOUBLE, lon DOUBLE, value FLOAT, file STRING"
 )
+NAMES = ["local_t", "days", "i", "j", "lat", "lon", "value", "file"]
+BATCH_ROWS = 262_144
 DEFAULT_OPENER = "gridcube.sources.netcdf:open_netcdf"
 
 
@@ -70,6 +73,7 @@ class NetcdfReader(DataSourceReader):
         self.variable = options["variable"]
         self.steps = int(options.get("slab", "12"))
         self.opener = options.get("opener", DEFAULT_OPENER)
+        self.header = options.get("header", "false") == "true"
         self.bounds = {"local_t": [0, None], "i": [0, None], "j": [0, None]}
 
     def pushFilters(self, filters):
@@ -96,6 +100,9 @@ class NetcdfReader(DataSourceReader):
         slabs = []
         low, high = self.bounds["local_t"]
         for path in self.paths:
+            if self.header:
+                slabs.append(Slab(path, 0, 0))
+                continue
             with _opener(self.opener)(path) as held:
                 n = held.variables["time"].shape[0]
             end = n if high is None else min(n, high)
@@ -107,32 +114,39 @@ class NetcdfReader(DataSourceReader):
         import pyarrow as pa
 
         name = partition.path.rsplit("/", 1)[1]
-        span = lambda axis, n: range(n)[slice(*self.bounds[axis])]
         with _opener(self.opener)(partition.path) as held:
+            if self.header:
+                days = np.asarray(held.variables["time"][:]).astype("int64")
+                n = len(days)
+                empty = [pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float32())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(n, dtype="int32")), pa.array(days), *empty, pa.repeat(name, n)], names=NAMES
+                )
+                return
             lat, lon = held.variables["lat"], held.variables["lon"]
-            rows, cols = span("i", lat.shape[0]), span("j", lon.shape[0])
+            rows = range(lat.shape[0])[slice(*self.bounds["i"])]
+            cols = range(lon.shape[0])[slice(*self.bounds["j"])]
             where = (slice(rows.start, rows.stop), slice(cols.start, cols.stop))
-            lats = np.asarray(lat[where[0]], dtype="float64")
-            lons = np.asarray(lon[where[1]], dtype="float64")
+            lats, lons = np.asarray(lat[where[0]], "float64"), np.asarray(lon[where[1]], "float64")
             days = np.asarray(held.variables["time"][partition.t0:partition.t1]).astype("int64")
-            data = held.variables[self.variable]
-            for k, day in enumerate(days):
-                t = partition.t0 + k
-                plane = np.asarray(data[t:t + 1, where[0], where[1]], dtype="float32")[0]
-                n_rows, n_cols = plane.shape
-                size = plane.size
+            # one read per slab: a compressed source chunk spans several steps, and reading
+            # step by step would decompress it once per step
+            slab = np.asarray(held.variables[self.variable][partition.t0:partition.t1, where[0], where[1]], "float32")
+        j = np.arange(cols.start, cols.stop, dtype="int32")
+        height = max(1, BATCH_ROWS // max(1, len(cols)))
+        for k, day in enumerate(days):
+            for top in range(0, len(rows), height):
+                part = slab[k, top:top + height]
+                n = part.size
+                i = np.arange(rows.start + top, rows.start + top + len(part), dtype="int32")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(size, t, "int32")),
-                        pa.array(np.full(size, day, "int64")),
-                        pa.array(np.repeat(np.arange(rows.start, rows.stop, dtype="int32"), n_cols)),
-                        pa.array(np.tile(np.arange(cols.start, cols.stop, dtype="int32"), n_rows)),
-                        pa.array(np.repeat(lats, n_cols)),
-                        pa.array(np.tile(lons, n_rows)),
-                        pa.array(plane.ravel()),
-                        pa.array([name] * size),
+                        pa.array(np.full(n, partition.t0 + k, "int32")), pa.array(np.full(n, day, "int64")),
+                        pa.array(np.repeat(i, len(cols))), pa.array(np.tile(j, len(part))),
+                        pa.array(np.repeat(lats[top:top + height], len(cols))), pa.array(np.tile(lons, len(part))),
+                        pa.array(part.ravel()), pa.repeat(name, n),
                     ],
-                    names=["local_t", "days", "i", "j", "lat", "lon", "value", "file"],
+                    names=NAMES,
                 )
 
 

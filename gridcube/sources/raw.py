@@ -34,13 +34,16 @@ class RawVariable:
         self.spark, self.name = spark, variable
         self._fs = SharedFs(spark, config.raw_dir)
         self._folder = f"{config.raw_dir}/{variable}"
+        self._options = config.settings.get("raw_options") or {}
         self.files = config.files(self._fs, variable)
 
-    def _scan(self, files: list[str]) -> DataFrame:
+    def _scan(self, files: list[str], header: bool = False) -> DataFrame:
+        """Rows of some files with their file's name. ``header``: only steps and days are
+        wanted, which column pruning sees to for Parquet and the source itself for netCDF."""
         if files[0].endswith(".nc"):
             from gridcube.sources.netcdf import read_netcdf
 
-            return read_netcdf(self.spark, files, self.name)
+            return read_netcdf(self.spark, files, self.name, header=str(header).lower(), **self._options)
         rows = self.spark.read.schema(SCHEMA).parquet(*files)
         marker = F.regexp_extract(F.col("_metadata.file_path"), f"/{self.name}/([^/]+)", 1)
         return rows.select("*", marker.alias("file"))
@@ -52,7 +55,7 @@ class RawVariable:
         Reads only the step column, which is run-length encoded on disk.
         """
         lengths = dict(
-            self._scan(self.files).groupBy("file").agg((F.max("local_t") + 1).alias("n")).collect()
+            self._scan(self.files, header=True).groupBy("file").agg((F.max("local_t") + 1).alias("n")).collect()
         )
         table, first = [], 0
         for path in self.files:
@@ -74,18 +77,18 @@ class RawVariable:
         return [first for _, first, _ in self.index[1:]]
 
     def _placed(self, rows: DataFrame, files: list[str]) -> DataFrame:
-        """Adds the global step. The broadcast side has one row per source file."""
+        """Adds the global step, from a table with one row per source file."""
         if len(files) == 1:
             first = next(f for path, f, _ in self.index if path == files[0])
             return rows.withColumn("t", F.col("local_t") + F.lit(first))
         starts = self.spark.createDataFrame(
             [(path.rsplit("/", 1)[1], first) for path, first, _ in self.index], "file string, _first int"
         )
-        return rows.join(F.broadcast(starts), "file").withColumn("t", F.col("_first") + F.col("local_t"))
+        return rows.join(starts, "file").withColumn("t", F.col("_first") + F.col("local_t"))
 
     def axis(self) -> DataFrame:
         """(idx, days): the time axis, without touching the data column."""
-        steps = self._scan(self.files).select("file", "local_t", "days").distinct()
+        steps = self._scan(self.files, header=True).select("file", "local_t", "days").distinct()
         return self._placed(steps, self.files).select(F.col("t").alias("idx"), "days")
 
     def coordinate(self, dim: str) -> DataFrame:
@@ -155,7 +158,7 @@ class RawVariable:
         if self.files[0].endswith(".nc"):
             from gridcube.sources.netcdf import read_attrs
 
-            return read_attrs(self.files[0], self.name)
+            return read_attrs(self.files[0], self.name, **{k: v for k, v in self._options.items() if k == "opener"})
         path = f"{self._folder}/{ATTRS_FILE}"
         if not self._fs.exists(path):
             return {}, {}

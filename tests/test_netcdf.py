@@ -52,3 +52,30 @@ def test_missing_library_is_named(files):
     except ImportError:
         with pytest.raises(ImportError, match="netCDF4"):
             read_attrs(files[0], "E")
+
+
+def test_raw_variable_over_netcdf(spark, tmp_path):
+    """The same scans as over Parquet; the axis comes from the headers alone."""
+    from gridcube.config import GridConfig
+    from gridcube.plans.build import build_store
+    from gridcube.plans.store import Store
+    from gridcube.plans.verify import Audit
+    from gridcube.sources.raw import RawVariable
+    from tests.conftest import settings
+
+    held = settings(tmp_path, "spatial", raw_options={"opener": OPENER, "slab": "2"}, timesteps_per_commit=3, attrs={})
+    config = GridConfig(held).of("E")
+    folder = tmp_path / "v_1_2_b/raw/daily/E"
+    folder.mkdir(parents=True)
+    for name, start, n in (("E_1980.nc", 29219, 5), ("E_1981.nc", 29224, 3)):
+        (folder / name).write_text(json.dumps({"start": start, "n": n}))
+    raw = RawVariable(spark, config, "E")
+    assert [(f, n) for _, f, n in raw.index] == [(0, 5), (5, 3)]
+    assert [(r.idx, r.days) for r in raw.axis().orderBy("idx").collect()] == [(k, 29219 + k) for k in range(8)]
+    assert raw._scan(raw.files, header=True).where("value is not null").count() == 0
+    assert raw.cells(steps=(4, 6), i=(1, 2)).count() == 2 * 6
+    assert build_store(spark, config) == 3
+    assert Store.open(spark, config.store_path).cells().count() == 8 * 20
+    audit = Audit(spark, config, samples=3)
+    audit.run(["structure", "index", "samples", "sweep"])
+    assert audit.failures == []
