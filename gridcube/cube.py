@@ -140,6 +140,26 @@ class Cube:
         """t, i, j and one column per variable."""
         return merge.merge_exact(self.cells(labels=False), list(self.stores), check=False)
 
+    def map(self) -> DataFrame:
+        """variable, lat, lon, value with rows counted from the north: an image, as rows."""
+        sizes = self.state["sizes"]
+        ends = self._first.coordinate("lat", self.ref).agg(
+            F.min_by("value", "idx").alias("a"), F.max_by("value", "idx").alias("b")
+        ).first()
+        row = select.north_up(F.col("i"), sizes["lat"], ascending=ends.a < ends.b)
+        return self.cells().select("variable", "t", row.alias("row"), "j", "lat", "lon", "value")
+
+    def extent(self) -> tuple[float, float, float, float]:
+        """West, east, south, north of the selection: labels are centres, so half a cell more."""
+        sizes, out = self.state["sizes"], {}
+        for axis, dim in (("j", "lon"), ("i", "lat")):
+            a, b = self.ranges.get(axis, (0, sizes[dim]))
+            step = self.state["attrs"][f"geospatial_{dim}_resolution"]
+            labels = self._first.coordinate(dim, self.ref).where(F.col("idx").between(a, b - 1))
+            found = labels.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).first()
+            out[dim] = (found.lo - step / 2, found.hi + step / 2)
+        return (*out["lon"], *out["lat"])
+
     def land_mean(self, by: Sequence[str] = ("variable",)) -> DataFrame:
         return reduce.land_mean(self.cells(), list(by), F.col("lat"))
 

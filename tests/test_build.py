@@ -119,6 +119,8 @@ def test_cube(spark, family):
     near = cube.nearest(lat=47.3, lon=-5.1).of("potential_evaporation")
     assert near.ranges == {"i": (5, 6), "j": (30, 31)}
     assert cube.label("potential_evaporation") == "Potential evaporation flux [mm d-1]"
+    assert near.extent() == (-5.25, -4.75, 47.25, 47.75) and cube.extent() == (-20.25, -0.25, 40.25, 50.25)
+    assert near.map().select("row", "lat").distinct().collect()[0] == (5, 47.5)
     shares = {r.component: r.share_pct for r in cube.of(*cube.stores).shares("potential_evaporation").collect()}
     assert abs(shares["sum of components"] - 100) < 0.5
     cost = {r.variable: r.n_chunks for r in cube.isel(t=(0, 10), i=(3, 4)).read_cost().collect()}

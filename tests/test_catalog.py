@@ -39,10 +39,3 @@ def test_query_agrees(spark, duck, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
-
-
-def test_audited_and_finished_stores(spark):
-    checks = entry_module.queries()["verified_stores"](spark, FOLDER)
-    assert checks.where("n_failed > 0").collect() == []
-    done = entry_module.queries()["finalized_stores"](spark, FOLDER).collect()
-    assert {r.remaining_after for r in done} == {""} and {r.gc_failed for r in done} == {0}
