@@ -117,7 +117,7 @@ def build_append(store: Store, source: Source) -> int:
     """Batches of time steps, each its own commit. Resumes after the last one.
 
     Raw rows arrive in (t, i, j) order, which is also the order of this layout, so a
-    batch is a scan and a write: sorting within partitions, no shuffle.
+    batch is a scan and a write, without a shuffle or a sort.
     """
     n_time = source.sizes["time"]
     batch = source.config.batch_steps(source.chunks)
@@ -139,7 +139,7 @@ def build_append(store: Store, source: Source) -> int:
         last = min(first + batch, n_time)
         work = store.begin()
         work.state = {**state, "sizes": {**source.sizes, "time": last}, "axis_written": n_time}
-        cells = source.raw.valid_cells(steps=(first, last)).sortWithinPartitions("t", "i", "j")
+        cells = source.raw.valid_cells(steps=(first, last))
         work.write_cells(cells, {"t": (first, last), "i": (0, source.sizes["lat"]), "j": (0, source.sizes["lon"])})
         # the axes are written ahead, once; the recorded size says how far they count
         known = work.parent_state.get("axis_written", 0)

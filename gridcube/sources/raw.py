@@ -14,9 +14,9 @@ from __future__ import annotations
 import json
 from bisect import bisect_right
 from collections.abc import Iterable
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcube.config import GridConfig
@@ -25,6 +25,7 @@ from gridcube.functions.grid import decoded
 
 SCHEMA = "local_t INT, days BIGINT, i INT, j INT, lat DOUBLE, lon DOUBLE, value FLOAT"
 ATTRS_FILE = "_attrs.json"
+SCANS = 200  # up to so many files a query names each scan; beyond, one scan tells files apart by path
 
 
 class RawVariable:
@@ -44,6 +45,13 @@ class RawVariable:
             from gridcube.sources.netcdf import read_netcdf
 
             return read_netcdf(self.spark, files, self.name, header=str(header).lower(), **self._options)
+        if len(files) <= SCANS:
+            # one scan per file with the name as a constant: no text work per row
+            scans = [
+                self.spark.read.schema(SCHEMA).parquet(path).withColumn("file", F.lit(path.rsplit("/", 1)[1]))
+                for path in files
+            ]
+            return reduce(DataFrame.unionByName, scans)
         rows = self.spark.read.schema(SCHEMA).parquet(*files)
         marker = F.regexp_extract(F.col("_metadata.file_path"), f"/{self.name}/([^/]+)", 1)
         return rows.select("*", marker.alias("file"))
@@ -76,20 +84,24 @@ class RawVariable:
     def seams(self) -> list[int]:
         return [first for _, first, _ in self.index[1:]]
 
-    def _placed(self, rows: DataFrame, files: list[str]) -> DataFrame:
-        """Adds the global step, from a table with one row per source file."""
-        if len(files) == 1:
-            first = next(f for path, f, _ in self.index if path == files[0])
-            return rows.withColumn("t", F.col("local_t") + F.lit(first))
+    def _placed(self, files: list[str], test: Column | None = None, header: bool = False) -> DataFrame:
+        """Rows of some files with their global step ``t``."""
+        first = {path: f for path, f, _ in self.index}
+        keep = lambda rows: rows if test is None else rows.where(test)
+        if len(files) <= SCANS:
+            scans = [
+                keep(self._scan([path], header)).withColumn("t", F.col("local_t") + F.lit(first[path])) for path in files
+            ]
+            return reduce(DataFrame.unionByName, scans)
+        # a table with one row per source file
         starts = self.spark.createDataFrame(
-            [(path.rsplit("/", 1)[1], first) for path, first, _ in self.index], "file string, _first int"
+            [(path.rsplit("/", 1)[1], first[path]) for path in files], "file string, _first int"
         )
-        return rows.join(starts, "file").withColumn("t", F.col("_first") + F.col("local_t"))
+        return keep(self._scan(files, header)).join(starts, "file").withColumn("t", F.col("_first") + F.col("local_t"))
 
     def axis(self) -> DataFrame:
         """(idx, days): the time axis, without touching the data column."""
-        steps = self._scan(self.files, header=True).select("file", "local_t", "days").distinct()
-        return self._placed(steps, self.files).select(F.col("t").alias("idx"), "days")
+        return self._placed(self.files, header=True).select(F.col("t").alias("idx"), "days").distinct()
 
     def coordinate(self, dim: str) -> DataFrame:
         """(idx, value) of lat or lon, from one step of the first file: files share their grid."""
@@ -138,10 +150,7 @@ class RawVariable:
                 parts.append(([path], (F.col("local_t") >= a) & (F.col("local_t") < b)))
         if whole or not parts:
             parts.append((whole or self.files[:1], F.lit(bool(whole))))
-        scans = [self._placed(self._scan(files).where(test), files) for files, test in parts]
-        rows = scans[0]
-        for scan in scans[1:]:
-            rows = rows.unionByName(scan)
+        rows = reduce(DataFrame.unionByName, [self._placed(files, test) for files, test in parts])
         for axis, span in (("i", i), ("j", j)):
             if span is not None:
                 rows = rows.where((F.col(axis) >= span[0]) & (F.col(axis) < span[1]))
