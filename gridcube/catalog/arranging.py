@@ -8,7 +8,7 @@ from gridcube.catalog.registry import query
 from gridcube.functions import grid, text
 from gridcube.operators import chunks, merge, ordering, reduce
 from gridcube.sources.tables import (
-    EVENTS_SQL, SHIP_START, SHIPS_SQL, event_cells, raw_event_cells, table,
+    EVENTS_SQL, SHIP_START, event_cells, raw_event_cells, table,
 )
 from gridcube.catalog.reducing import TILE_SQL
 
