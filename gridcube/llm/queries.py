@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcube.llm import exact, mixing, packing, token_files
+from gridcube.llm import exact, minhash, mixing, packing, token_files
 from gridcube.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_mixing": op7_mixing,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
 
