@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcube.llm import exact, minhash, mixing, packing, token_files
+from gridcube.llm import exact, language, minhash, mixing, packing, token_files, toxicity
 from gridcube.llm.common import table
 
 
@@ -16,6 +16,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -31,6 +39,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
+    "op5_toxicity": op5_toxicity,
     "op7_mixing": op7_mixing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_token_files": op10_token_files,
