@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcube.llm import exact, language, minhash, mixing, near_vectors, packing, quality, token_files, toxicity
+from gridcube.llm import exact, html_text, language, minhash, mixing, near_vectors, packing, quality, token_files, toxicity
 from gridcube.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
+    "op8_html_extraction": op8_html_extraction,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
