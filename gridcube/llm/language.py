@@ -102,16 +102,18 @@ class Parser:
         parts, self.roots, at = [], [], 0
         for lang in self.languages:
             moves = suffix_automaton(np.searchsorted(alphabet, text[lang]).tolist())
-            table = np.full((len(moves), width), -1, np.int32)
+            alone = len(moves)  # the state after a letter that the sample lacks, a piece of its own
+            table = np.full((alone + 1, width), -1, np.int32)
             for state, own in enumerate(moves):
                 if own:
                     table[state, list(own.keys())] = list(own.values())
-            restart = np.where(table[0] >= 0, table[0], 0)
             ended = table < 0
+            restart = np.where(ended[0], alone, table[0])
             table = np.where(ended, restart[None, :], table)
+            ended[0] = False  # nothing comes back to the root: no piece ends where a segment starts
             parts.append((table + at) * 2 + ended)
             self.roots.append(at)
-            at += len(moves)
+            at += alone + 1
         self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
 
     def pieces(self, texts: list[np.ndarray]) -> np.ndarray:

@@ -277,3 +277,25 @@ def without_near_copies(docs: DataFrame, **settings) -> DataFrame:
     stay = near_duplicates(docs, **settings).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
     rows = docs.join(stay, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+ORACLE = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]]
+    else list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) end) as g
+  from d),
+n as (select doc_id, count(*) as n_shingles from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as both from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+l as (
+  select p.x, p.y from p join n a on a.doc_id = p.x join n b on b.doc_id = p.y
+  where 100 * p.both >= 80 * (a.n_shingles + b.n_shingles - p.both)),
+reach as (select doc_id as x, doc_id as y from d union select r.x, l.y from reach r join l on l.x = r.y),
+c as (select x, min(y) as component_id from reach group by x),
+k as (select doc_id, list(g order by g) as shingles from s group by doc_id),
+m as (select shingles, min(doc_id) as class_id from k group by shingles)
+select d.doc_id, coalesce(n.n_shingles, 0) as n_shingles, coalesce(m.class_id, d.doc_id) as class_id, c.component_id, d.doc_id = c.component_id as kept
+from d join c on c.x = d.doc_id left join n on n.doc_id = d.doc_id left join k on k.doc_id = d.doc_id left join m on m.shingles = k.shingles
+"""

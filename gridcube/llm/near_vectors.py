@@ -115,3 +115,22 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     alone = rows.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
+
+
+ORACLE = """
+with recursive v as (
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as e,
+    vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0 as usable
+  from embeddings),
+l as (
+  select a.vec_id as x, b.vec_id as y from v a join v b
+    on a.label = b.label and a.vec_id <> b.vec_id and a.usable and b.usable and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach as (select vec_id as x, vec_id as y from v where usable union select r.x, l.y from reach r join l on l.x = r.y),
+c as (select x, min(y) as component_id from reach group by x),
+n as (select x, count(*) as n_links from l group by x)
+select v.vec_id, coalesce(n.n_links, 0) as n_links, coalesce(c.component_id, v.vec_id) as component_id,
+  coalesce(v.vec_id = coalesce(c.component_id, v.vec_id), false) as kept
+from v left join c on c.x = v.vec_id left join n on n.x = v.vec_id
+"""

@@ -88,7 +88,7 @@ class Model:
             near = self.latent(rows_of(texts[at : at + block])) @ self.vectors.T
             k = min(NEIGHBOURS, near.shape[1])
             best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-            weight = np.maximum(1e-6, np.take_along_axis(near, best, axis=1)) ** SHARPNESS
+            weight = np.maximum(1e-6, np.take_along_axis(near, best, axis=1).astype(np.float64)) ** SHARPNESS
             label, much = self.votes[0][best], self.votes[1][best]
             out[at : at + block] = (weight * much * label).sum(axis=1) / (weight * much).sum(axis=1)
         return out

@@ -62,6 +62,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_near_vectors": near_vectors.ORACLE,
     "op3_exact_dedup": exact.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op9_minhash_near_dedup": minhash.ORACLE,
 }

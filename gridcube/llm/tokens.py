@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -29,68 +30,60 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class Encoder:
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Known(dict):
+    """Ids of chunks as bytes; a chunk asked for the first time is encoded."""
+
+    def __init__(self, tokenizer, kind: str):
+        super().__init__()
+        self.tokenizer, self.model, self.kind, self.letters = tokenizer, tokenizer.model, kind, _byte_letters()
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-        self.letters = _byte_letters()
+    def __missing__(self, chunk: bytes) -> bytes:
+        parts = LATIN.fullmatch(chunk.decode())
+        ids = self._word(parts[1]) if parts else None
+        if ids is None:
+            ids = array(self.kind, self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
+        elif parts[2]:
+            tail = parts[2].encode()
+            if tail not in self:
+                self[tail] = array(self.kind, self.tokenizer.encode(parts[2], add_special_tokens=False).ids).tobytes()
+            ids += self[tail]
+        self[chunk] = ids
+        return ids
 
     def _word(self, word: str) -> bytes | None:
         """Ids of a word of Latin letters; None where it would not stay one unit."""
         if word.isascii():
             word = word.lower()
         else:
-            word = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
+            word = "".join([c.lower() for c in unicodedata.normalize("NFC", word)])
             if not word.isalpha():
                 return None
-            word = "".join([self.letters[b] for b in word.encode()])
-        return np.array([t.id for t in self.model.tokenize(word)], self.dtype).tobytes()
-
-    def _learn(self, fresh: set[bytes]) -> None:
-        known, hard = self.known, set()
-        split = {}
-        for chunk in fresh:
-            parts = LATIN.fullmatch(chunk.decode())
-            ids = self._word(parts[1]) if parts else None
-            if ids is None:
-                hard.add(chunk)
-            elif parts[2]:
-                tail = parts[2].encode()
-                split[chunk] = ids, tail
-                if tail not in known:
-                    hard.add(tail)
-            else:
-                known[chunk] = ids
-        hard_list = list(hard)
-        for at in range(0, len(hard_list), 20_000):
-            part = hard_list[at : at + 20_000]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)):
-                known[chunk] = np.array(e.ids, self.dtype).tobytes()
-        for chunk, (ids, tail) in split.items():
-            known[chunk] = ids + known[tail]
+            letters = self.letters
+            word = "".join([letters[b] for b in word.encode()])
+        return array(self.kind, [t.id for t in self.model.tokenize(word)]).tobytes()
+
+
+class Encoder:
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        small = tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        self.dtype = np.dtype("<u2" if small else "<u4")
+        self.tokenizer, self.known = tokenizer, Known(tokenizer, "H" if small else "I")
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids per text; a null text is an empty one."""
-        split = []
+        if len(self.known) > CACHE:
+            self.known.clear()
+        ids, out = self.known.__getitem__, []
         for text in texts:
             raw = (text or "").encode()
             # lower-casing ASCII early makes more chunks equal; special tokens are spelled case by case
-            split.append((raw if b"<|" in raw else raw.lower()).split())
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        fresh: set[bytes] = set()
-        for chunks in split:
-            fresh.update(chunks)
-        fresh.difference_update(known.keys())
-        self._learn(fresh)
-        ids = known.__getitem__
-        return [np.frombuffer(b"".join(map(ids, chunks)), self.dtype) for chunks in split]
+            chunks = (raw if b"<|" in raw else raw.lower()).split()
+            out.append(np.frombuffer(b"".join(map(ids, chunks)), self.dtype))
+        return out
 
 
 def encoder(path: str) -> Encoder:
