@@ -8,9 +8,9 @@ from gridcube.catalog.registry import query
 from gridcube.functions import grid, text
 from gridcube.operators import chunks, merge, ordering, reduce
 from gridcube.sources.tables import (
-    EVENTS_SQL, SHIP_START, event_cells, raw_event_cells, table,
+    EVENTS_SQL, SHIP_START, event_cells, table,
 )
-from gridcube.catalog.reducing import TILE_SQL
+from gridcube.catalog.reducing import STRATA_SQL, strata
 
 # One source file per return flag and year, as a yearly archive would hold them.
 FILES_SQL = """days AS (SELECT DISTINCT l_returnflag AS variable, year(l_shipdate) AS file,
@@ -126,30 +126,20 @@ def first_findings(spark, folder):
     return rows.orderBy("variable", "ct", "ci", "cj").limit(5).select("variable", "ct", "ci", "cj")
 
 
-STRATA_SQL = TILE_SQL + """, counts AS (SELECT variable, ci, cj, CAST(sum(n_valid) AS BIGINT) AS n_valid FROM tiles WHERE t < 15 GROUP BY 1, 2, 3),
-    strata AS (SELECT *, CASE WHEN n_valid = 60 THEN 'covered' WHEN n_valid > 40 THEN 'coastal' ELSE 'empty' END AS stratum FROM counts),
-    drawn AS (SELECT *, row_number() OVER (PARTITION BY variable, stratum
+DRAWN_SQL = STRATA_SQL + """, drawn AS (SELECT *, row_number() OVER (PARTITION BY variable, stratum
       ORDER BY md5(concat_ws(':', '20260910', ci, cj)), ci, cj) AS rank FROM strata QUALIFY rank <= 2)"""
 
 
-def _strata(spark, folder):
-    counts = reduce.tile_valid_counts(raw_event_cells(spark, folder).where("t < 15"), ["variable"], 6, 2)
-    n = F.col("n_valid")
-    return counts.withColumn(
-        "stratum", F.when(n == 60, "covered").when(n > 40, "coastal").otherwise("empty")
-    )
-
-
 def _drawn(spark, folder):
-    return ordering.draw(_strata(spark, folder), ["variable", "stratum"], ["ci", "cj"], 2, 20260910)
+    return ordering.draw(strata(spark, folder), ["variable", "stratum"], ["ci", "cj"], 2, 20260910)
 
 
-@query("O8 O10", f"WITH {STRATA_SQL} SELECT variable, stratum, ci, cj, rank FROM drawn")
+@query("O8 O10", f"WITH {DRAWN_SQL} SELECT variable, stratum, ci, cj, rank FROM drawn")
 def stratified_tiles(spark, folder):
     return _drawn(spark, folder).select("variable", "stratum", "ci", "cj", "rank")
 
 
-@query("W6 O9", f"""WITH {STRATA_SQL} SELECT variable, ci, cj, stratum,
+@query("W6 O9", f"""WITH {DRAWN_SQL} SELECT variable, ci, cj, stratum,
       row_number() OVER (PARTITION BY variable ORDER BY rank, stratum) AS turn FROM drawn QUALIFY turn <= 3""")
 def alternated_tiles(spark, folder):
     return ordering.alternated(_drawn(spark, folder), ["variable"], "stratum", 3).select(
@@ -205,17 +195,19 @@ def file_seams(spark, folder):
     )
 
 
-@query("X18 X17", f"""WITH {EVENTS_SQL}, b AS (SELECT DISTINCT variable, t, date, i // 6 AS ci, j // 2 AS cj FROM cells)
+@query("X18 X17", f"""WITH {EVENTS_SQL}, n AS (SELECT max(t) + 1 AS n FROM cells), b AS (SELECT DISTINCT variable, t, date, i // 6 AS ci, j // 2 AS cj FROM cells)
     SELECT DISTINCT variable, CASE WHEN ci = 0 THEN format('t={{}} ({{}})', t, strftime(date, '%Y-%m-%d'))
-      ELSE format('lat[{{}}:{{}}) lon[{{}}:{{}}) x 30 steps', ci * 6, least(ci * 6 + 6, 36), cj * 2, cj * 2 + 2) END AS label FROM b""")
+      ELSE format('lat[{{}}:{{}}) lon[{{}}:{{}}) x {{}} steps', ci * 6, least(ci * 6 + 6, 36), cj * 2, cj * 2 + 2, n) END AS label FROM b, n""")
 def box_labels(spark, folder):
-    boxes = event_cells(spark, folder).select(
+    cells = event_cells(spark, folder)
+    n_steps = cells.agg((F.max("t") + 1).alias("n")).first().n
+    boxes = cells.select(
         "variable", "t", "date", grid.block(F.col("i"), 6).alias("ci"), grid.block(F.col("j"), 2).alias("cj")
     ).distinct()
     plane = F.col("ci") == 0
     t0 = F.when(plane, F.col("t")).otherwise(0)
     label = text.box_label(
-        t0, F.when(plane, t0 + 1).otherwise(30), F.col("date"),
+        t0, F.when(plane, t0 + 1).otherwise(n_steps), F.col("date"),
         F.col("ci") * 6, F.least(F.col("ci") * 6 + 6, F.lit(36)), F.col("cj") * 2, F.col("cj") * 2 + 2,
     )
     return boxes.select("variable", label.alias("label")).distinct()

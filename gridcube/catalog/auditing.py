@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridcube.catalog.arranging import CHUNK_SQL, SMALL, _manifest
@@ -50,14 +51,19 @@ def size_stats(spark, folder):
     return chunks.size_stats(_manifest(spark, folder), ["variable"])
 
 
-@query("A19 S21", f"""WITH {CHUNK_SQL} SELECT variable, CAST(sum(nbytes) AS BIGINT) AS stored_bytes, 30 * 36 * (max(cj) + 1) * 4 AS logical_bytes,
-      round(CAST(sum(nbytes) AS BIGINT) / (30 * 36 * (max(cj) + 1) * 4), 6) AS ratio FROM manifest GROUP BY 1""")
+@query("A19 S21", f"""WITH {CHUNK_SQL}, n AS (SELECT max(ct) + 1 AS n_days FROM manifest)
+    SELECT variable, CAST(sum(nbytes) AS BIGINT) AS stored_bytes, any_value(n_days) * 36 * (max(cj) + 1) * 4 AS logical_bytes,
+      round(CAST(sum(nbytes) AS BIGINT) / (any_value(n_days) * 36 * (max(cj) + 1) * 4), 6) AS ratio FROM manifest, n GROUP BY 1""")
 def manifest_totals(spark, folder):
-    logical = F.lit(30 * 36 * 4) * (F.max("cj") + 1)
     sums = _manifest(spark, folder).groupBy("variable").agg(
-        F.sum("nbytes").alias("stored_bytes"), logical.cast("long").alias("logical_bytes")
+        F.sum("nbytes").alias("stored_bytes"), F.max("ct").alias("_t"), F.max("cj").alias("_j")
+    )
+    # one row per variable of the family
+    n_days = F.max("_t").over(Window.partitionBy()) + 1
+    logical = (n_days * 36 * (F.col("_j") + 1) * 4).cast("long")
+    return sums.withColumn("logical_bytes", logical).select(
+        "variable", "stored_bytes", "logical_bytes", F.round(F.col("stored_bytes") / F.col("logical_bytes"), 6).alias("ratio")
     )
-    return sums.withColumn("ratio", F.round(F.col("stored_bytes") / F.col("logical_bytes"), 6))
 
 
 @query("A18", f"""WITH {CHUNK_SQL} SELECT variable, count(*) AS n_chunks, round(count(*) * 24.0 / 1048576, 4)::DOUBLE AS mib
@@ -77,11 +83,13 @@ def _gappy(spark, folder):
 
 
 @query("J8", f"""WITH {_GAP_SQL}, v AS (SELECT DISTINCT variable FROM gappy)
-    SELECT variable, t FROM (SELECT variable, unnest(range(30)) AS t FROM v) ANTI JOIN gappy USING (variable, t)""")
+    SELECT variable, t FROM (SELECT variable, unnest(range((SELECT min(t) FROM gappy), (SELECT max(t) + 1 FROM gappy))) AS t FROM v)
+    ANTI JOIN gappy USING (variable, t)""")
 def absent_days(spark, folder):
     present = _gappy(spark, folder).select("variable", "t").distinct()
+    ends = present.agg(F.min("t").alias("first"), F.max("t").alias("last")).first()
     expected = present.select("variable").distinct().select(
-        "variable", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("t")
+        "variable", F.explode(F.sequence(F.lit(ends.first), F.lit(ends.last))).alias("t")
     )
     return merge.missing_from(expected, present, ["variable", "t"])
 
@@ -107,20 +115,19 @@ def sibling_absent(spark, folder):
     variables with chunks takes place.
     """
     rows = _manifest(spark, folder)
-    family = [r.variable for r in rows.select("variable").distinct().collect()]
     writers = rows.groupBy("ct", "ci", "cj").agg(F.collect_set("variable").alias("w"))
-    others = F.array_except(F.array(*[F.lit(v) for v in family]), F.col("w"))
-    return writers.select(F.explode(others).alias("variable"), "ct", "ci", "cj")
+    family = writers.agg(F.array_distinct(F.flatten(F.collect_set("w"))).alias("family"))  # one row
+    others = F.array_except("family", "w")
+    return writers.join(F.broadcast(family)).select(F.explode(others).alias("variable"), "ct", "ci", "cj")
 
 
-@query("S2 S3 J11", """SELECT DISTINCT lang FROM documents WHERE doc_id IN (SELECT doc_id FROM documents
-      WHERE n_chars > 3000) EXCEPT SELECT lang FROM documents WHERE source = 'src0' AND n_chars > 8000""")
+@query("S2 S3 J11", """SELECT DISTINCT lang || '/' || n_chars // 1000 AS name FROM documents
+    EXCEPT SELECT lang || '/' || n_chars // 1000 FROM documents JOIN labels USING (doc_id)""")
 def missing_variables(spark, folder):
-    """Names asked for and not available."""
-    docs = table(spark, folder, "documents")
-    asked = docs.where("n_chars > 3000").select("lang").distinct()
-    there = docs.where("source = 'src0' and n_chars > 8000").select("lang").distinct()
-    return merge.missing_from(asked, there, ["lang"])
+    """Names asked for, kinds of document, that have no labelled member."""
+    docs = table(spark, folder, "documents").select("doc_id", F.concat_ws("/", "lang", F.expr("n_chars div 1000").cast("string")).alias("name"))
+    there = docs.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+    return merge.missing_from(docs.select("name").distinct(), there, ["name"])
 
 
 _KEY = NameKey.load()
@@ -233,32 +240,34 @@ def attr_overlay(spark, folder):
     return attrs.overlaid([here, there.where("key <> 'title'")])
 
 
-@query("U5", """WITH d AS (SELECT DISTINCT source AS owner, CASE lang WHEN 'en' THEN 'standard_name' WHEN 'fr' THEN 'long_name' WHEN 'de' THEN 'units' ELSE 'comment' END AS key
-      FROM documents WHERE n_chars > 9000),
+@query("U5", """WITH d AS (SELECT DISTINCT source || '/' || n_chars // 100 AS owner, CASE lang WHEN 'en' THEN 'standard_name' WHEN 'fr' THEN 'long_name' WHEN 'de' THEN 'units' ELSE 'comment' END AS key FROM documents),
     n AS (SELECT DISTINCT owner, unnest(['standard_name', 'long_name', 'units']) AS key FROM d)
     SELECT owner, key FROM n ANTI JOIN d USING (owner, key)""")
 def required_attrs(spark, folder):
     """Owners that lack an attribute every variable must carry."""
     key = (F.when(F.col("lang") == "en", "standard_name").when(F.col("lang") == "fr", "long_name")
            .when(F.col("lang") == "de", "units").otherwise("comment"))
-    held = table(spark, folder, "documents").where("n_chars > 9000").select(
-        F.col("source").alias("owner"), key.alias("key")
-    ).distinct()
+    owner = F.concat_ws("/", "source", F.expr("n_chars div 100").cast("string"))
+    held = table(spark, folder, "documents").select(owner.alias("owner"), key.alias("key")).distinct()
     return attrs.lacking(held, REQUIRED_ATTRS)
 
 
-@query("U1 U3", f"""WITH {EVENTS_SQL}, a AS (SELECT DISTINCT i, j FROM cells WHERE variable = 'view' AND t < 6), b AS (SELECT DISTINCT i, j FROM cells WHERE variable = 'click' AND t < 6)
-    SELECT 'both' AS side, * FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
-    UNION ALL SELECT 'only here', * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
-    UNION ALL SELECT 'only there', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
+@query("U1 U3", f"""WITH {EVENTS_SQL}, p AS (SELECT DISTINCT variable, i, j FROM cells), a AS (SELECT i, j FROM p WHERE variable = 'view'),
+      v AS (SELECT DISTINCT variable FROM p WHERE variable <> 'view'), b AS (SELECT * FROM p WHERE variable <> 'view'),
+      ab AS (SELECT variable, i, j FROM v, a)
+    SELECT 'both' AS side, * FROM (SELECT * FROM ab INTERSECT SELECT * FROM b)
+    UNION ALL SELECT 'only here', * FROM (SELECT * FROM ab EXCEPT SELECT * FROM b)
+    UNION ALL SELECT 'only there', * FROM (SELECT * FROM b EXCEPT SELECT * FROM ab)""")
 def set_differences(spark, folder):
-    """Intersection and both differences, from one pass instead of three set operations."""
-    early = event_cells(spark, folder).where("t < 6 and variable in ('view', 'click')")
-    sides = early.groupBy("i", "j").agg(
-        F.bool_or(F.col("variable") == "view").alias("here"), F.bool_or(F.col("variable") == "click").alias("there")
-    )
-    side = F.when(F.col("here") & F.col("there"), "both").when(F.col("here"), "only here").otherwise("only there")
-    return sides.select(side.alias("side"), "i", "j")
+    """Footprint of view against each other variable's: intersection and both differences, from one
+    pass instead of three set operations each."""
+    holders = event_cells(spark, folder).groupBy("i", "j").agg(F.collect_set("variable").alias("w"))
+    family = holders.agg(F.array_distinct(F.flatten(F.collect_set("w"))).alias("family"))  # one row
+    others = F.explode(F.array_except("family", F.array(F.lit("view"))))
+    here, there = F.array_contains("w", "view"), F.expr("array_contains(w, variable)")
+    side = F.when(here & there, "both").when(here, "only here").when(there, "only there")
+    sides = holders.join(F.broadcast(family)).select("i", "j", "w", others.alias("variable"))
+    return sides.select(side.alias("side"), "variable", "i", "j").where("side is not null")
 
 
 @query("X1", """SELECT DISTINCT 'v' || p_size || '.' || (p_partkey % 10) || chr(CAST(97 + p_partkey % 26 AS INTEGER)) AS version,

@@ -124,7 +124,7 @@ def footprint_excess(spark, folder):
 
 
 TILE_SQL = RAW_SQL + """, tiles AS (SELECT variable, t, i // 6 AS ci, j // 2 AS cj,
-      count(*) FILTER (WHERE value <> -999 AND NOT isnan(value)) AS n_valid FROM raw GROUP BY 1, 2, 3, 4)"""
+      count(*) FILTER (WHERE value <> -999) AS n_valid FROM raw GROUP BY 1, 2, 3, 4)"""
 
 
 @query("A8", f"WITH {TILE_SQL} SELECT * FROM tiles")
@@ -141,13 +141,25 @@ def tile_any_valid(spark, folder):
     return counts.groupBy("variable", "ci", "cj").agg(F.bool_or(F.col("n_valid") > 0).alias("ever_valid"))
 
 
-@query("V11", f"""WITH {TILE_SQL}, c AS (SELECT variable, ci, cj, CAST(sum(n_valid) AS BIGINT) AS n_valid
-      FROM tiles WHERE t < 15 GROUP BY 1, 2, 3)
-    SELECT variable, ci, cj, n_valid, CASE WHEN n_valid = 60 THEN 'covered' WHEN n_valid > 0 THEN 'coastal'
-      ELSE 'empty' END AS stratum FROM c""")
+# The plane in the middle of the record, and how many cells each tile of it has.
+STRATA_SQL = TILE_SQL + """, g AS (SELECT min(t) + (max(t) - min(t) + 1) // 2 AS mid, max(j) + 1 AS n_lon FROM raw),
+    counts AS (SELECT variable, ci, cj, n_valid, 6 * least(2, n_lon - cj * 2) AS area FROM tiles, g WHERE t = mid),
+    strata AS (SELECT variable, ci, cj, n_valid, CASE WHEN n_valid = area THEN 'covered' WHEN n_valid > 0 THEN 'coastal'
+      ELSE 'empty' END AS stratum FROM counts)"""
+
+
+def strata(spark, folder):
+    """Tiles of the plane in the middle of the record, by how much of them holds data."""
+    cells = raw_event_cells(spark, folder)
+    ends = event_cells(spark, folder).agg(F.min("t").alias("a"), F.max("t").alias("b"), F.max("j").alias("east")).first()
+    plane = cells.where(F.col("t") == ends.a + (ends.b - ends.a + 1) // 2)
+    area = 6 * F.least(F.lit(2), ends.east + 1 - F.col("cj") * 2)
+    return reduce.land_strata(reduce.tile_valid_counts(plane, ["variable"], 6, 2), area)
+
+
+@query("V11", f"WITH {STRATA_SQL} SELECT variable, ci, cj, n_valid, stratum FROM strata")
 def land_strata(spark, folder):
-    counts = reduce.tile_valid_counts(raw_event_cells(spark, folder).where("t < 15"), ["variable"], 6, 2)
-    return reduce.land_strata(counts, 60)
+    return strata(spark, folder)
 
 
 _UNITS = {"click": "mm d-1", "error": "W m-2", "purchase": "m3 m-3", "signup": "unitless"}
@@ -254,11 +266,13 @@ def compare_with_raw(spark, folder):
 
 
 @query("A21", f"""WITH {EVENTS_SQL}, b AS (SELECT DISTINCT variable, i // 6 AS ci, j // 2 AS cj FROM cells)
-    SELECT variable, count(*) AS n_boxes, CAST(sum(30 * 6 * 2) AS BIGINT) AS n_cells FROM b GROUP BY 1""")
+    SELECT variable, count(*) AS n_boxes, CAST(sum(6 * 2) * (SELECT max(t) - min(t) + 1 FROM cells) AS BIGINT) AS n_cells FROM b GROUP BY 1""")
 def compared_cells(spark, folder):
     """Cells a comparison of every written tile through the whole record covers."""
-    boxes = event_cells(spark, folder).select(
+    cells = event_cells(spark, folder)
+    n_days = cells.agg((F.max("t") - F.min("t") + 1).alias("n")).first().n
+    boxes = cells.select(
         "variable", grid.block(F.col("i"), 6).alias("ci"), grid.block(F.col("j"), 2).alias("cj")
     ).distinct()
-    volume = F.lit(30 * 6 * 2)
+    volume = F.lit(n_days * 6 * 2)
     return boxes.groupBy("variable").agg(F.count(F.lit(1)).alias("n_boxes"), F.sum(volume).alias("n_cells"))

@@ -18,7 +18,6 @@ from gridcube.cube import Cube, inventory
 from gridcube.fs import SharedFs
 from gridcube.functions.grid import day_number
 from gridcube.functions.names import NameKey
-from gridcube.operators import reduce
 from gridcube.plans import finalize
 from gridcube.plans.build import build_family
 from gridcube.plans.store import Store
@@ -41,10 +40,12 @@ KEY = NameKey("""
 | --- | --- | --- |
 | daily | day | daily total |
 """)
-N_DAYS, DAYS_PER_FILE = 30, 10
+DAYS_PER_FILE = 10
 
-STORED_SQL = EVENTS_SQL + """, stored AS (SELECT CASE variable WHEN 'purchase' THEN 'purchases' ELSE variable || 's' END AS variable,
-      t, i, j, CAST(CAST(cents % 100000 / 100.0 AS FLOAT) AS DOUBLE) AS value FROM cells WHERE cents % 7 <> 0)"""
+# The stores' time axis runs from the first day with data to the last.
+SPAN_SQL = EVENTS_SQL + """, span AS (SELECT min(t) AS t0, max(t) - min(t) + 1 AS n_days, (max(t) - min(t)) // 10 + 1 AS n_batches FROM cells)"""
+STORED_SQL = SPAN_SQL + """, stored AS (SELECT CASE variable WHEN 'purchase' THEN 'purchases' ELSE variable || 's' END AS variable,
+      t - t0 AS t, i, j, CAST(CAST(cents / 100.0 AS FLOAT) AS DOUBLE) AS value FROM cells, span WHERE cents % 7 <> 0)"""
 
 
 def raw_grid(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,22 +55,22 @@ def raw_grid(spark: SparkSession, folder: str) -> DataFrame:
     with its plane, so no task makes more than some planes.
     """
     cells = cut_lineage(event_cells(spark, folder).select("variable", "t", "i", "j", "cents"))
-    extent = cells.agg((F.max("j") + 1).cast("int").alias("n")).first().n
+    ends = cells.agg(F.min("t").alias("first"), F.max("t").alias("last"), F.max("j").alias("east")).first()
     steps = cells.select("variable").distinct().select(
-        "variable", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(N_DAYS - 1).cast("long"))).alias("t")
+        "variable", F.explode(F.sequence(F.lit(ends.first).cast("long"), F.lit(ends.last).cast("long"))).alias("t")
     )
     planes = (
         steps.repartition("variable", "t")
         .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(N_LAT - 1).cast("long"))).alias("i"))
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(extent - 1).cast("long"))).alias("j"))
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ends.east).cast("long"))).alias("j"))
     )
-    value = F.when(F.col("cents") % 7 != 0, F.col("cents") % 100000 / 100).otherwise(-999.0).cast("float")
-    first_day = day_number(F.lit(EVENT_START).cast("date"))
+    value = F.when(F.col("cents") % 7 != 0, F.col("cents") / 100).otherwise(-999.0).cast("float")
+    step, first_day = F.col("t") - ends.first, day_number(F.lit(EVENT_START).cast("date"))
     return planes.join(cells, ["variable", "t", "i", "j"], "left").select(
-        "variable", (F.col("t") % DAYS_PER_FILE).cast("int").alias("local_t"), (first_day + F.col("t")).alias("days"),
+        "variable", (step % DAYS_PER_FILE).cast("int").alias("local_t"), (first_day + F.col("t")).alias("days"),
         F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j"),
         lat_of(F.col("i")).alias("lat"), lon_of(F.col("j")).alias("lon"), value.alias("value"),
-        F.floor(F.col("t") / DAYS_PER_FILE).cast("int").alias("part"),
+        F.floor(step / DAYS_PER_FILE).cast("int").alias("part"),
     )
 
 
@@ -89,13 +90,19 @@ def config_of(raw: str, root: str, layout: str) -> GridConfig:
     )
 
 
-# Raw trees and finished stores of this session, by input folder. Queries that only
-# read share them; a query that moves a branch builds stores of its own.
+# Raw trees and finished stores of this session, by the state of the input. Queries that
+# only read share them; a query that moves a branch builds stores of its own.
 _MADE: dict[tuple, str] = {}
 
 
+def _stamp(spark: SparkSession, folder: str) -> tuple:
+    """Names, times and sizes of the files that hold the events."""
+    fs, table = SharedFs(spark, folder), f"{folder.rstrip('/')}/events.parquet"
+    return (*fs.list(table), *fs.size(table))
+
+
 def _once(spark: SparkSession, folder: str, what: str, make) -> str:
-    key = (spark.sparkContext.applicationId, folder, what)
+    key = (spark.sparkContext.applicationId, folder, _stamp(spark, folder), what)
     if key not in _MADE or not SharedFs(spark, _MADE[key]).exists(_MADE[key]):
         root = fresh_dir(spark, f"events-{what}")
         make(root)
@@ -105,15 +112,13 @@ def _once(spark: SparkSession, folder: str, what: str, make) -> str:
 
 def _write_raw(spark: SparkSession, folder: str, root: str) -> None:
     target = config_of(root, root, "spatial").raw_dir
-    rows = cut_lineage(raw_grid(spark, folder))
-    fs = SharedFs(spark, root)
-
-    def write(piece):
-        name, part = piece
-        one = rows.where((F.col("variable") == name) & (F.col("part") == part)).drop("variable", "part")
-        one.sortWithinPartitions("local_t", "i", "j").write.parquet(f"{target}/{name}/{name}_{part}.parquet")
-
-    side_by_side(write, [(n, p) for n in KEY.variables for p in range(N_DAYS // DAYS_PER_FILE)])
+    fs, staged = SharedFs(spark, root), f"{root}/staged"
+    rows = raw_grid(spark, folder).repartition("variable", "part").sortWithinPartitions("variable", "part", "local_t", "i", "j")
+    rows.write.partitionBy("variable", "part").parquet(staged)
+    for variable, is_folder, _ in fs.list(staged):
+        for part, _, _ in fs.list(f"{staged}/{variable}") if is_folder else ():
+            name, number = variable.partition("=")[2], int(part.partition("=")[2])
+            fs.move(f"{staged}/{variable}/{part}", f"{target}/{name}/{name}_{number:06d}.parquet")
     for name in KEY.variables:
         attrs = {"variable": {"standard_name": name, "long_name": f"{name} value", "units": "W.m-2"}, "global": {}}
         fs.write_new(f"{target}/{name}/{ATTRS_FILE}", json.dumps(attrs))
@@ -172,7 +177,7 @@ def resumed_stores(spark, folder):
 
 
 @query("S19 K12 R9", f"""WITH {STORED_SQL} SELECT 'tag' AS ref, variable, t, i, j, value FROM stored
-    UNION ALL SELECT 'main', variable, t, i, j, value FROM stored WHERE t < 20""")
+    UNION ALL SELECT 'main', variable, t, i, j, value FROM stored, span WHERE t < (n_batches - 1) * 10""")
 def tagged_read(spark, folder):
     """A tag keeps showing what it named while the branch moves."""
     (config,) = built(spark, folder, "spatial", own=True)
@@ -195,9 +200,10 @@ def store_manifest(spark, folder):
     return fold(DataFrame.unionByName, tables)
 
 
-@query("R1 R2 R3 X15", f"""WITH {EVENTS_SQL}, v AS (SELECT variable, max(t) + 1 AS n FROM cells GROUP BY 1)
-    SELECT variable, n // 10 AS depth, 'repository initialized' AS message FROM v
-    UNION ALL SELECT variable, n // 10 - 1 - k, format('write timesteps {{}}-{{}}', k * 10, k * 10 + 9) FROM v, range(3) r(k)""")
+@query("R1 R2 R3 X15", f"""WITH {SPAN_SQL}, v AS (SELECT DISTINCT variable FROM cells),
+      k AS (SELECT n_days, n_batches, unnest(range(n_batches)) AS k FROM span)
+    SELECT variable, n_batches AS depth, 'repository initialized' AS message FROM v, span
+    UNION ALL SELECT variable, n_batches - 1 - k, format('write timesteps {{}}-{{}}', k * 10, least(k * 10 + 9, n_days - 1)) FROM v, k""")
 def commit_history(spark, folder):
     (config,) = built(spark, folder, "spatial")
     tables = [
@@ -237,21 +243,19 @@ def variable_attrs(spark, folder):
     return spark.createDataFrame(rows, "owner string, key string, value string")
 
 
-@query("S12 S13 S20 J1 J6 J17 A2 P3 P4", f"""WITH {STORED_SQL} SELECT variable, DATE '{EVENT_START}' + CAST(t AS INTEGER) AS date,
+@query("S12 S13 S20 J1 J6 J17 A2 P3 P4", f"""WITH {STORED_SQL} SELECT variable, DATE '{EVENT_START}' + CAST(t + t0 AS INTEGER) AS date,
       round(sum(value * cos(radians(87.5 - 5.0 * i))) / sum(cos(radians(87.5 - 5.0 * i))), 4) AS land_mean
-    FROM stored WHERE t BETWEEN 4 AND 14 AND 87.5 - 5.0 * i BETWEEN 22 AND 52 GROUP BY 1, 2""")
+    FROM stored, span WHERE t + t0 BETWEEN 4 AND 14 AND 87.5 - 5.0 * i BETWEEN 22 AND 52 GROUP BY 1, 2""")
 def cube_series(spark, folder):
     """A regional daily series off the stores, selected by label."""
     (config,) = built(spark, folder, "spatial")
-    cube = Cube.open(spark, config, ["views", "click"]).sel(time=("2024-01-05", "2024-01-15"), lat=(52, 22))
-    others = Cube.open(spark, config, ["errors", "signup", "purchase"]).sel(time=("2024-01-05", "2024-01-15"), lat=(52, 22))
-    rows = cube.cells().unionByName(others.cells())
-    means = reduce.land_mean(rows, ["variable", "date"], F.col("lat"))
+    cube = Cube.open(spark, config, ["views", "click", "errors", "signup", "purchase"])
+    means = cube.sel(time=("2024-01-05", "2024-01-15"), lat=(52, 22)).land_mean(["variable", "date"])
     return means.select("variable", "date", F.round("land_mean", 4).alias("land_mean"))
 
 
-@query("S21 A18", f"""WITH {EVENTS_SQL} SELECT variable AS original, 'W m-2' AS units, 'W.m-2' AS original_units,
-      CAST(30 * 36 * ((SELECT max(j) FROM cells) + 1) * 4 AS DOUBLE) / 1073741824 AS gib FROM cells GROUP BY 1""")
+@query("S21 A18", f"""WITH {SPAN_SQL} SELECT variable AS original, 'W m-2' AS units, 'W.m-2' AS original_units,
+      CAST((SELECT n_days FROM span) * 36 * ((SELECT max(j) FROM cells) + 1) * 4 AS DOUBLE) / 1073741824 AS gib FROM cells GROUP BY 1""")
 def store_inventory(spark, folder):
     (config,) = built(spark, folder, "spatial")
     return inventory(spark, config).select("original", "units", "original_units", "gib")
@@ -280,8 +284,8 @@ def verified_stores(spark, folder):
     )
 
 
-@query("R7 R8 K8 K11 K12 K13 A17 X25 O5", """SELECT event_type AS variable, 'attrs then tag' AS remaining_before, '' AS remaining_after,
-      CAST(0 AS BIGINT) AS gc_failed, count(DISTINCT CAST(ts AS DATE)) // 10 + 2 AS snapshots FROM events GROUP BY 1""")
+@query("R7 R8 K8 K11 K12 K13 A17 X25 O5", f"""WITH {SPAN_SQL} SELECT DISTINCT variable, 'attrs then tag' AS remaining_before, '' AS remaining_after,
+      CAST(0 AS BIGINT) AS gc_failed, n_batches + 2 AS snapshots FROM cells, span""")
 def finalized_stores(spark, folder):
     """Attributes, tag and collection, in that order; what is left to do afterwards."""
     (config,) = built(spark, folder, "spatial", own=True)
@@ -301,20 +305,29 @@ def finalized_stores(spark, folder):
     return spark.createDataFrame(rows, "variable string, remaining_before string, remaining_after string, gc_failed int, snapshots int")
 
 
-@query("K1 K2 S5", f"""WITH {EVENTS_SQL} SELECT t, i, j, CAST(CAST(cents % 100000 / 100.0 AS FLOAT) AS DOUBLE) AS value
-    FROM cells WHERE cents % 7 <> 0 AND variable = 'view'""")
+@query("K1 K2 S5", f"""WITH {SPAN_SQL} SELECT variable, t - t0 AS t, i, j, CAST(CAST(cents / 100.0 AS FLOAT) AS DOUBLE) AS value
+    FROM cells, span WHERE cents % 7 <> 0""")
 def stream_append(spark, folder):
-    """One variable's days as they arrive, a commit per micro-batch; then the query once
+    """Every variable's days as they arrive, a commit per micro-batch; then each query once
     more, which finds nothing new."""
     root = fresh_dir(spark, "stream")
-    rows = cut_lineage(raw_grid(spark, folder).where("variable = 'view'"))
-    size = rows.agg((F.max("j") + 1).alias("n")).first().n
-    store = Store.open_or_create(spark, f"{root}/store")
-    grid = {"lat": N_LAT, "lon": size}
-    n_parts = N_DAYS // DAYS_PER_FILE
-    for part in range(n_parts + 1):
-        if part < n_parts:
-            rows.where(F.col("part") == part).drop("variable", "part").write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in")
-        append_stream(stream, store, grid, {"time": 1, **grid}, "view", f"{root}/checkpoint").awaitTermination()
-    return store.cells().withColumn("value", F.col("value").cast("double"))
+    rows = cut_lineage(raw_grid(spark, folder))
+    ends = rows.agg((F.max("j") + 1).alias("east"), F.max("part").alias("part")).first()
+    grid = {"lat": N_LAT, "lon": ends.east}
+    stores = {name: Store.open_or_create(spark, f"{root}/store/{name}") for name in KEY.variables}
+
+    def drain(name):
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/in/{name}")
+        append_stream(stream, stores[name], grid, {"time": 1, **grid}, name, f"{root}/checkpoint/{name}").awaitTermination()
+
+    for part in range(ends.part + 2):
+        if part <= ends.part:
+            arrived = rows.where(F.col("part") == part).drop("part")
+            arrived.repartition("variable").write.partitionBy("variable").parquet(f"{root}/arrived/{part}")
+            fs = SharedFs(spark, root)
+            for folder_, _, _ in fs.list(f"{root}/arrived/{part}"):
+                if folder_.startswith("variable="):
+                    fs.move(f"{root}/arrived/{part}/{folder_}", f"{root}/in/{folder_.partition('=')[2]}/part={part}")
+        side_by_side(drain, list(KEY.variables))
+    cells = [s.cells().select(F.lit(name).alias("variable"), "t", "i", "j", F.col("value").cast("double").alias("value")) for name, s in stores.items()]
+    return fold(DataFrame.unionByName, cells)

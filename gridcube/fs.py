@@ -12,11 +12,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+OBJECT_STORES = frozenset(["s3", "s3a", "s3n", "gs", "wasb", "wasbs", "oss", "cos", "swift"])
+
+
 class SharedFs:
     def __init__(self, spark: SparkSession, root: str):
         self._jvm = spark._jvm
         self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._local = self._fs.getUri().getScheme() == "file"
+        self._scheme = self._fs.getUri().getScheme()
+        self._local = self._scheme == "file"
 
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
@@ -58,6 +62,8 @@ class SharedFs:
         so a reader never sees half a record. Needs a file system whose rename is
         atomic and refuses an existing target (HDFS), or a local disk.
         """
+        if self._scheme in OBJECT_STORES:
+            raise ValueError(f"{self._scheme} does not refuse to rename onto an existing file, so two writers could both win")
         parent, name = path.rsplit("/", 1)
         self._fs.mkdirs(self._path(parent))
         staged = f"{parent}/.{name}.{uuid.uuid4().hex}"
@@ -79,5 +85,10 @@ class SharedFs:
         self.delete(staged)
         return False
 
+    def move(self, path: str, target: str) -> None:
+        self._fs.mkdirs(self._path(target.rsplit("/", 1)[0]))
+        if not self._fs.rename(self._path(path), self._path(target)):
+            raise OSError(f"cannot move {path} to {target}")
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

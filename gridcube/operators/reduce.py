@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcube.functions.grid import block, decoded, is_valid, lat_weight
+from gridcube.functions.grid import block, fill, is_valid, lat_weight
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:
@@ -76,14 +76,15 @@ def footprint_excess(wide: DataFrame, total: str, components: Sequence[str]) ->
 def tile_valid_counts(
     cells: DataFrame, by: Sequence[str], lat: int, lon: int, value: str = "value"
 ) -> DataFrame:
-    """Valid cells per tile of ``lat`` x ``lon`` cells. Sentinels do not count."""
+    """Held cells of raw data per tile of ``lat`` x ``lon`` cells: all but the sentinel. A raw NaN
+    counts as held, as it is not what the source writes where there is no data."""
     tiles = [block(F.col("i"), lat).alias("ci"), block(F.col("j"), lon).alias("cj")]
     return cells.groupBy(*by, *tiles).agg(
-        F.count_if(decoded(F.col(value).cast("float")).isNotNull()).alias("n_valid")
+        F.count_if(F.col(value).cast("float") != fill()).alias("n_valid")
     )
 
 
-def land_strata(counts: DataFrame, cells_per_tile: int) -> DataFrame:
+def land_strata(counts: DataFrame, cells_per_tile: Column | int) -> DataFrame:
     """Adds ``stratum``: covered, coastal or empty, by how much of a tile is valid."""
     n = F.col("n_valid")
     return counts.withColumn(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -28,8 +29,9 @@ def tune(spark: SparkSession, **overrides) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A local temporary folder is used only where the session names none, which is
-    the single-machine case (tests, notebooks).
+    A local temporary folder is used only where the session names none and runs on one
+    machine (tests, notebooks). On a cluster a missing setting is an error: executors
+    would each write to a disk of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -38,6 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
         active = spark.sparkContext._jsc.sc().getCheckpointDir()
         if active.isDefined():
             return active.get()
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"on {master!r}, spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gridcube-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)

@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import contextlib
 import importlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
+    In,
     DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition,
     LessThan, LessThanOrEqual,
 )
@@ -61,20 +63,25 @@ def _opener(name: str):
 
 
 @dataclass
-class Slab(InputPartition):
+class Share(InputPartition):
+    """Every ``of``-th slab of a file, from the ``k``-th on. How many there are is for the task
+    that opens the file to find out."""
+
     path: str
-    t0: int
-    t1: int
+    k: int
+    of: int
 
 
 class NetcdfReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.paths = [p for p in options["paths"].split(",") if p]
+        self.paths = json.loads(options["paths"])
         self.variable = options["variable"]
         self.steps = int(options.get("slab", "12"))
         self.opener = options.get("opener", DEFAULT_OPENER)
         self.header = options.get("header", "false") == "true"
+        self.shares = int(options.get("shares", "8"))
         self.bounds = {"local_t": [0, None], "i": [0, None], "j": [0, None]}
+        self.only: set[int] | None = None  # single steps asked for
 
     def pushFilters(self, filters):
         """Narrow the hyperslab; every filter is still applied by Spark afterwards."""
@@ -82,7 +89,13 @@ class NetcdfReader(DataSourceReader):
             column = f.attribute[0] if getattr(f, "attribute", None) else None
             if column in self.bounds and len(f.attribute) == 1:
                 low, high = self.bounds[column]
-                if isinstance(f, (EqualTo, GreaterThanOrEqual)):
+                if isinstance(f, In):
+                    wanted = {v for v in f.value if v is not None}
+                    low, above = max([low, *([min(wanted)] if wanted else [])]), max(wanted, default=-1) + 1
+                    high = above if high is None else min(high, above)
+                    if column == "local_t":
+                        self.only = wanted if self.only is None else self.only & wanted
+                elif isinstance(f, (EqualTo, GreaterThanOrEqual)):
                     low = max(low, f.value)
                 elif isinstance(f, GreaterThan):
                     low = max(low, f.value + 1)
@@ -97,17 +110,14 @@ class NetcdfReader(DataSourceReader):
             yield f
 
     def partitions(self):
-        slabs = []
+        return [Share(path, k, self.shares) for path in self.paths for k in range(1 if self.header else self.shares)]
+
+    def slabs(self, share: Share, n: int) -> list[tuple[int, int]]:
+        """Step ranges of a share in a file of n steps, without those that hold no wanted step."""
         low, high = self.bounds["local_t"]
-        for path in self.paths:
-            if self.header:
-                slabs.append(Slab(path, 0, 0))
-                continue
-            with _opener(self.opener)(path) as held:
-                n = held.variables["time"].shape[0]
-            end = n if high is None else min(n, high)
-            slabs += [Slab(path, a, min(a + self.steps, end)) for a in range(low, end, self.steps)]
-        return slabs
+        end = n if high is None else min(n, high)
+        found = [(a, min(a + self.steps, end)) for a in range(low + share.k * self.steps, end, share.of * self.steps)]
+        return [s for s in found if self.only is None or any(s[0] <= t < s[1] for t in self.only)]
 
     def read(self, partition):
         import numpy as np
@@ -128,26 +138,27 @@ class NetcdfReader(DataSourceReader):
             cols = range(lon.shape[0])[slice(*self.bounds["j"])]
             where = (slice(rows.start, rows.stop), slice(cols.start, cols.stop))
             lats, lons = np.asarray(lat[where[0]], "float64"), np.asarray(lon[where[1]], "float64")
-            days = np.asarray(held.variables["time"][partition.t0:partition.t1]).astype("int64")
-            # one read per slab: a compressed source chunk spans several steps, and reading
-            # step by step would decompress it once per step
-            slab = np.asarray(held.variables[self.variable][partition.t0:partition.t1, where[0], where[1]], "float32")
-        j = np.arange(cols.start, cols.stop, dtype="int32")
-        height = max(1, BATCH_ROWS // max(1, len(cols)))
-        for k, day in enumerate(days):
-            for top in range(0, len(rows), height):
-                part = slab[k, top:top + height]
-                n = part.size
-                i = np.arange(rows.start + top, rows.start + top + len(part), dtype="int32")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, partition.t0 + k, "int32")), pa.array(np.full(n, day, "int64")),
-                        pa.array(np.repeat(i, len(cols))), pa.array(np.tile(j, len(part))),
-                        pa.array(np.repeat(lats[top:top + height], len(cols))), pa.array(np.tile(lons, len(part))),
-                        pa.array(part.ravel()), pa.repeat(name, n),
-                    ],
-                    names=NAMES,
-                )
+            j = np.arange(cols.start, cols.stop, dtype="int32")
+            height = max(1, BATCH_ROWS // max(1, len(cols)))
+            for first, last in self.slabs(partition, held.variables["time"].shape[0]):
+                days = np.asarray(held.variables["time"][first:last]).astype("int64")
+                # one read per slab: a compressed source chunk spans several steps, and reading
+                # step by step would decompress it once per step
+                slab = np.asarray(held.variables[self.variable][first:last, where[0], where[1]], "float32")
+                for k, day in enumerate(days):
+                    for top in range(0, len(rows), height):
+                        part = slab[k, top:top + height]
+                        n = part.size
+                        i = np.arange(rows.start + top, rows.start + top + len(part), dtype="int32")
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(n, first + k, "int32")), pa.array(np.full(n, day, "int64")),
+                                pa.array(np.repeat(i, len(cols))), pa.array(np.tile(j, len(part))),
+                                pa.array(np.repeat(lats[top:top + height], len(cols))), pa.array(np.tile(lons, len(part))),
+                                pa.array(part.ravel()), pa.repeat(name, n),
+                            ],
+                            names=NAMES,
+                        )
 
 
 class NetcdfSource(DataSource):
@@ -165,7 +176,7 @@ class NetcdfSource(DataSource):
 def read_netcdf(spark: SparkSession, files: list[str], variable: str, **options) -> DataFrame:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(NetcdfSource)
-    reader = spark.read.format("grid_netcdf").option("paths", ",".join(files)).option("variable", variable)
+    reader = spark.read.format("grid_netcdf").option("paths", json.dumps(files)).option("variable", variable)
     return reader.options(**options).load()
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 from bisect import bisect_right
 from collections.abc import Iterable
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,14 @@ from gridcube.functions.grid import decoded
 
 SCHEMA = "local_t INT, days BIGINT, i INT, j INT, lat DOUBLE, lon DOUBLE, value FLOAT"
 ATTRS_FILE = "_attrs.json"
-SCANS = 200  # up to so many files a query names each scan; beyond, one scan tells files apart by path
+
+
+def joined(scans: list[DataFrame]) -> DataFrame:
+    """The rows of all scans. Joined in halves, so that analysing hundreds stays cheap."""
+    if len(scans) == 1:
+        return scans[0]
+    middle = len(scans) // 2
+    return joined(scans[:middle]).unionByName(joined(scans[middle:]))
 
 
 class RawVariable:
@@ -39,29 +46,24 @@ class RawVariable:
         self.files = config.files(self._fs, variable)
 
     def _scan(self, files: list[str], header: bool = False) -> DataFrame:
-        """Rows of some files with their file's name. ``header``: only steps and days are
-        wanted, which column pruning sees to for Parquet and the source itself for netCDF."""
+        """Rows of some files with their file's name. ``header``: only steps and days are wanted.
+        Parquet then gives the rows of the first cell alone, whose pages the sort order sets apart;
+        the netCDF source reads the time variable only."""
         if files[0].endswith(".nc"):
             from gridcube.sources.netcdf import read_netcdf
 
             return read_netcdf(self.spark, files, self.name, header=str(header).lower(), **self._options)
-        if len(files) <= SCANS:
-            # one scan per file with the name as a constant: no text work per row
-            scans = [
-                self.spark.read.schema(SCHEMA).parquet(path).withColumn("file", F.lit(path.rsplit("/", 1)[1]))
-                for path in files
-            ]
-            return reduce(DataFrame.unionByName, scans)
-        rows = self.spark.read.schema(SCHEMA).parquet(*files)
-        marker = F.regexp_extract(F.col("_metadata.file_path"), f"/{self.name}/([^/]+)", 1)
-        return rows.select("*", marker.alias("file"))
+        # one scan per file with the name as a constant: no text work per row
+        scans = [
+            self.spark.read.schema(SCHEMA).parquet(path).withColumn("file", F.lit(path.rsplit("/", 1)[1]))
+            for path in files
+        ]
+        rows = joined(scans)
+        return rows.where("i = 0 and j = 0") if header else rows
 
     @cached_property
     def index(self) -> list[tuple[str, int, int]]:
-        """(file, first step, number of steps), in time order: one row per file.
-
-        Reads only the step column, which is run-length encoded on disk.
-        """
+        """(file, first step, number of steps), in time order: one row per file."""
         lengths = dict(
             self._scan(self.files, header=True).groupBy("file").agg((F.max("local_t") + 1).alias("n")).collect()
         )
@@ -88,16 +90,10 @@ class RawVariable:
         """Rows of some files with their global step ``t``."""
         first = {path: f for path, f, _ in self.index}
         keep = lambda rows: rows if test is None else rows.where(test)
-        if len(files) <= SCANS:
-            scans = [
-                keep(self._scan([path], header)).withColumn("t", F.col("local_t") + F.lit(first[path])) for path in files
-            ]
-            return reduce(DataFrame.unionByName, scans)
-        # a table with one row per source file
-        starts = self.spark.createDataFrame(
-            [(path.rsplit("/", 1)[1], first[path]) for path in files], "file string, _first int"
-        )
-        return keep(self._scan(files, header)).join(starts, "file").withColumn("t", F.col("_first") + F.col("local_t"))
+        scans = [
+            keep(self._scan([path], header)).withColumn("t", F.col("local_t") + F.lit(first[path])) for path in files
+        ]
+        return joined(scans)
 
     def axis(self) -> DataFrame:
         """(idx, days): the time axis, without touching the data column."""
@@ -150,7 +146,7 @@ class RawVariable:
                 parts.append(([path], (F.col("local_t") >= a) & (F.col("local_t") < b)))
         if whole or not parts:
             parts.append((whole or self.files[:1], F.lit(bool(whole))))
-        rows = reduce(DataFrame.unionByName, [self._placed(files, test) for files, test in parts])
+        rows = joined([self._placed(files, test) for files, test in parts])
         for axis, span in (("i", i), ("j", j)):
             if span is not None:
                 rows = rows.where((F.col(axis) >= span[0]) & (F.col(axis) < span[1]))

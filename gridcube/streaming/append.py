@@ -25,9 +25,11 @@ def batch_message(query: str, batch_id: int) -> str:
 
 def append_batch(store: Store, rows: DataFrame, message: str, grid: Mapping[str, int], chunks: Mapping[str, int]) -> bool:
     """Commit one micro-batch. False where there is nothing to do."""
-    if any(c.message == message for c in store.ancestry()):
-        return False
+    query, number = message.rsplit(" ", 1)
     work = store.begin()
+    held = work.state.get("batches") or {}  # last batch of each query, carried from commit to commit
+    if int(number) <= held.get(query, -1):
+        return False
     done = (work.state.get("sizes") or {}).get("time", 0)
     seen = rows.agg(F.min("days").alias("a"), F.max("days").alias("b"), F.countDistinct("days").alias("n")).first()
     if not seen.n:
@@ -37,7 +39,7 @@ def append_batch(store: Store, rows: DataFrame, message: str, grid: Mapping[str,
         raise ValueError(f"days {seen.a}..{seen.b} ({seen.n} of them) do not continue an axis that ends at {start + done - 1}")
     last = done + seen.n
     work.state = {
-        **work.state, "first_day": start, "chunks": dict(chunks), "sizes": {"time": last, **grid},
+        **work.state, "batches": {**held, query: int(number)}, "first_day": start, "chunks": dict(chunks), "sizes": {"time": last, **grid},
         "coordinates": {"time": {"chunk": chunks["time"], "units": TIME_UNITS, "calendar": CALENDAR, "dtype": "int64"},
                         "lat": {"chunk": grid["lat"]}, "lon": {"chunk": grid["lon"]}},
     }
@@ -60,7 +62,9 @@ def append_stream(
 ):
     """Start a query that takes what is available and stops; run it again for more."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_batch(store, batch, batch_message(name, batch_id), grid, chunks)
+        rows = batch.persist()  # looked at, written and its days listed
+        append_batch(store, rows, batch_message(name, batch_id), grid, chunks)
+        rows.unpersist()
 
     place = checkpoint or fresh_dir(store.spark, f"stream-{name}")
     return (

@@ -33,13 +33,27 @@ def test_filters_narrow_the_slabs(spark, files):
 
 
 def test_pushed_bounds(files):
-    from pyspark.sql.datasource import EqualTo, LessThan
+    from pyspark.sql.datasource import EqualTo, In, LessThan
 
-    reader = NetcdfReader({"paths": ",".join(files), "variable": "E", "opener": OPENER, "slab": "2"})
+    def reader():
+        return NetcdfReader({"paths": json.dumps(files), "variable": "E", "opener": OPENER, "slab": "2", "shares": "2"})
+
+    one = reader()
     filters = [EqualTo(("i",), 2), LessThan(("local_t",), 4)]
-    assert list(reader.pushFilters(filters)) == filters
-    assert reader.bounds["i"] == [2, 3]
-    assert [(s.t0, s.t1) for s in reader.partitions()] == [(0, 2), (2, 4), (0, 2), (2, 3)]
+    assert list(one.pushFilters(filters)) == filters
+    assert one.bounds["i"] == [2, 3]
+    assert [(s.path, s.k) for s in one.partitions()] == [(f, k) for f in files for k in (0, 1)]
+    shares = one.partitions()[:2]
+    assert [one.slabs(s, 5) for s in shares] == [[(0, 2)], [(2, 4)]] and [one.slabs(s, 3) for s in shares] == [[(0, 2)], [(2, 3)]]
+    single = reader()
+    list(single.pushFilters([In(("local_t",), (3, 300))]))
+    assert single.bounds["local_t"] == [3, 301]
+    assert [s for share in shares for s in single.slabs(share, 366)] == [(3, 5), (299, 301)]
+
+
+def test_a_comma_in_a_path(spark, tmp_path):
+    (tmp_path / "a,b.nc").write_text(json.dumps({"start": 5, "n": 1}))
+    assert read_netcdf(spark, [str(tmp_path / "a,b.nc")], "E", opener=OPENER).count() == 24
 
 
 def test_attrs(files):
