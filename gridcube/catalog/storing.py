@@ -23,7 +23,7 @@ from gridcube.plans.build import build_family
 from gridcube.plans.store import Store
 from gridcube.plans.verify import DEFAULT_PHASES, Audit
 from gridcube.session import cut_lineage, fresh_dir, side_by_side
-from gridcube.sources.raw import ATTRS_FILE, SCHEMA
+from gridcube.sources.raw import ATTRS_FILE, SCHEMA, RawVariable
 from gridcube.sources.tables import EVENT_START, EVENTS_SQL, N_LAT, event_cells, lat_of, lon_of
 from gridcube.streaming.append import append_stream
 
@@ -284,6 +284,71 @@ def verified_stores(spark, folder):
     )
 
 
+FAULTS = {  # what is planted, in whose store, and the one phase that has to see it
+    "other attribute": ("view", "metadata"), "unknown unit": ("signup", "ranges"), "changed values": ("click", "samples"),
+    "open identity": ("view", "identities"), "lost chunk": ("error", "sweep"), "moved axis": ("purchase", "index"),
+}
+_FAULT_ROWS = ", ".join(f"('{fault}', '{name}', '{phase}')" for fault, (name, phase) in FAULTS.items())
+
+
+@query("V1 V2 V3 V4 V5 V6 V7 V8 V9 J15 A12", f"""WITH {STORED_SQL}, f(fault, name, seen_by) AS (VALUES {_FAULT_ROWS}),
+      p(phase) AS (VALUES ('structure'), ('index'), ('samples'), ('sweep'), ('identities'), ('ranges'), ('metadata')),
+      n AS (SELECT variable, count(*) AS n_cells FROM stored GROUP BY 1)
+    SELECT fault, phase, phase = seen_by AS failed, n_cells FROM f JOIN n ON n.variable = CASE WHEN name = 'purchase' THEN 'purchases' ELSE name || 's' END, p""")
+def damaged_stores(spark, folder):
+    """One known fault per store, all phases, and which of them fail."""
+    (other,) = built(spark, folder, "temporal")
+    root = fresh_dir(spark, "events-damaged")
+    _write_raw(spark, folder, root)
+    config = config_of(root, root, "spatial")
+    config = GridConfig({**config.settings, "identities": {"view": ["click"]}}, KEY)
+    build_family(spark, config)
+    stores = {name: Store.open(spark, config.of(name).store_path) for name in KEY.variables}
+
+    def amended(name, change=lambda state: None, cells=None):
+        work, sizes = stores[name].begin(), stores[name].state()["sizes"]
+        change(work.state)
+        if cells is not None:
+            work.write_cells(cells, {"t": (0, sizes["time"]), "i": (0, sizes["lat"]), "j": (0, sizes["lon"])})
+        work.commit("planted")
+
+    def audited(fault):
+        name = FAULTS[fault][0]
+        # what is told of an unknown unit is told of it in both layouts, so only one store is looked at
+        against = None if fault == "unknown unit" else other
+        audit = Audit(spark, config.of(name), against, samples=3)
+        audit.run(DEFAULT_PHASES if against is None else (*DEFAULT_PHASES, "metadata"))
+        n_cells = stores[name].cells(clean[name]).count()
+        bad = {phase for phase, _, ok, _ in audit.checks if not ok}
+        return [(fault, phase, phase in bad, n_cells) for phase in (*DEFAULT_PHASES, "metadata")]
+
+    clean = {name: store.resolve() for name, store in stores.items()}
+
+    def unit(state):
+        held = json.loads(json.dumps(state["variables"]))
+        held["signups"]["attrs"]["units"] = "furlong"
+        state["variables"] = held
+
+    amended("view", lambda s: s.__setitem__("attrs", {**s["attrs"], "institution": "elsewhere"}))
+    amended("signup", unit)
+    rows = side_by_side(audited, ["other attribute", "unknown unit"])
+
+    stores["view"].reset(clean["view"])
+    halved = (F.col("value") / 2).cast("float").alias("value")
+    amended("click", cells=stores["click"].cells().select("t", "i", "j", halved))
+    audit = Audit(spark, config.of("error"), samples=3)
+    looked_at = {*audit.sampled(), *audit.spots(audit.options["range_days"])}
+    gone = next(t for t in range(audit.sizes["time"]) if t not in looked_at)
+    amended("error", cells=stores["error"].cells().where(F.col("t") != gone))
+    raw = RawVariable(spark, config, "purchase")
+    moved = spark.read.schema(SCHEMA).parquet(raw.files[0]).withColumn("lat", F.col("lat") + F.when(F.col("i") == 7, 0.5).otherwise(0.0))
+    moved.sortWithinPartitions("local_t", "i", "j").write.parquet(f"{root}/moved")
+    SharedFs(spark, root).delete(raw.files[0])
+    SharedFs(spark, root).move(f"{root}/moved", raw.files[0])
+    rows += side_by_side(audited, ["changed values", "open identity", "lost chunk", "moved axis"])
+    return spark.createDataFrame([r for part in rows for r in part], "fault string, phase string, failed boolean, n_cells long")
+
+
 @query("R7 R8 K8 K11 K12 K13 A17 X25 O5", f"""WITH {SPAN_SQL} SELECT DISTINCT variable, 'attrs then tag' AS remaining_before, '' AS remaining_after,
       CAST(0 AS BIGINT) AS gc_failed, n_batches + 2 AS snapshots FROM cells, span""")
 def finalized_stores(spark, folder):
