@@ -214,8 +214,8 @@ def commit_history(spark, folder):
 
 
 @query("X2 X3 X4 X5 X9 A16 S1", f"""WITH {EVENTS_SQL}, c AS (SELECT variable, CASE WHEN variable = 'purchase' THEN 'purchases' ELSE variable || 's' END AS name,
-      year(min(date)) AS a, year(max(date)) AS b FROM cells GROUP BY 1)
-    SELECT name AS variable, format('events v1.0a daily total value of {{0}} ({{0}}), native 5 degree global grid, {{1}}-{{2}}, chunked for maps and fields', name, a, b) AS title,
+      (SELECT year(min(date)) FROM cells) AS a, (SELECT year(max(date)) FROM cells) AS b FROM cells GROUP BY 1)
+    SELECT name AS variable, format('Value of {{0}} [{{0}}], events v1.0a, {{1}} to {{2}}, every 5 degrees, laid out for whole maps', name, a, b) AS title,
       format('spatial/events.v_1_0_a.day.{{}}', name) AS filename, format('table events, {{}}', variable) AS source FROM c""")
 def store_titles(spark, folder):
     """What each store says of itself: derived title, rendered filename and attribute."""
@@ -232,7 +232,7 @@ def store_titles(spark, folder):
     a AS (SELECT o, c, unnest(['standard_name', 'long_name', 'units', 'original_variable_name', 'original_standard_name', 'original_long_name', 'original_units', 'unit_conversion']) AS key FROM v)
     SELECT c AS owner, key, CASE key WHEN 'standard_name' THEN c WHEN 'long_name' THEN 'value of ' || c WHEN 'units' THEN 'W m-2'
       WHEN 'original_variable_name' THEN o WHEN 'original_standard_name' THEN o WHEN 'original_long_name' THEN o || ' value' WHEN 'original_units' THEN 'W.m-2'
-      ELSE 'none -- ''W.m-2'' and ''W m-2'' are the same unit under a different spelling; no value was changed' END AS value FROM a""")
+      ELSE 'none; ''W.m-2'' is spelled ''W m-2'' here, values are as published' END AS value FROM a""")
 def variable_attrs(spark, folder):
     """The attributes each stored variable carries, as a table."""
     (config,) = built(spark, folder, "spatial")

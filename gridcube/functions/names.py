@@ -40,13 +40,16 @@ def markdown_tables(text: str) -> list[list[dict[str, str]]]:
 
 
 def table_with(tables: list[list[dict[str, str]]], columns: set[str], origin: str) -> list[dict]:
-    """The one table that has all the given columns."""
-    found = [rows for rows in tables if columns <= rows[0].keys()]
-    if len(found) != 1:
-        raise ValueError(
-            f"{origin}: {len(found)} tables have the columns {sorted(columns)}, exactly one must"
-        )
-    return found[0]
+    """The rows of the table that has these columns. There has to be one, and only one."""
+    match [rows for rows in tables if not columns - set(rows[0])]:
+        case [rows]:
+            return rows
+        case found:
+            raise ValueError(f"{origin} needs one table with {', '.join(sorted(columns))}; it has {len(found)}")
+
+
+RENAMED = {"standard_name": "canonical_name", "long_name": "canonical_long_name", "units": "canonical_units"}
+PROVENANCE = ("original_variable_name", *(f"original_{k}" for k in RENAMED))
 
 
 class NameKey:
@@ -107,26 +110,17 @@ class NameKey:
         raise KeyError(f"{self.origin} has no frequency {name!r}")
 
     def variable_attrs(self, current: Mapping[str, object], original: str) -> dict[str, object]:
-        """The attributes a variable must carry. Applying this twice changes nothing:
-        once the upstream strings are kept under ``original_*`` they stay put."""
+        """The attributes a variable must carry, as layers of which the later win: what it has,
+        what it had when it was published, what the key calls it. What was published is recorded
+        once, so applying this to its own result changes nothing."""
         row = self._row(original)
-        kept = {"original_variable_name": current.get("original_variable_name", original)}
-        first_time = "original_variable_name" not in current
-        for field in ("standard_name", "long_name", "units"):
-            source = field if first_time else f"original_{field}"
-            kept[f"original_{field}"] = current.get(source, "")
-        units = row["canonical_units"]
-        return {
-            **current,
-            "standard_name": row["canonical_name"],
-            "long_name": row["canonical_long_name"],
-            "units": units,
-            **kept,
-            "unit_conversion": (
-                f"{row['unit_conversion']} -- {kept['original_units']!r} and {units!r} are the "
-                f"same unit under a different spelling; no value was changed"
-            ),
-        }
+        published = {f"original_{k}": current.get(k, "") for k in RENAMED}
+        if PROVENANCE[0] in current:
+            published = {k: current.get(k, "") for k in PROVENANCE}
+        layers = [{PROVENANCE[0]: original}, current, published, {k: row[column] for k, column in RENAMED.items()}]
+        merged = {k: v for layer in layers for k, v in layer.items()}
+        note = f"{row['unit_conversion']}; {merged['original_units']!r} is spelled {merged['units']!r} here, values are as published"
+        return {**merged, "unit_conversion": note}
 
     def as_table(self, spark: SparkSession) -> DataFrame:
         """original, canonical, units, long_name: one row per variable of the key."""

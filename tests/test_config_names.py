@@ -30,9 +30,9 @@ def test_key_must_be_sound():
         NameKey(HEADER + row.format("A", "") + FREQUENCY)
     with pytest.raises(ValueError, match="two variables"):
         NameKey(HEADER + row.format("A", "x") + row.format("B", "x") + FREQUENCY)
-    with pytest.raises(ValueError, match="0 tables"):
+    with pytest.raises(ValueError, match="it has 0"):
         NameKey(HEADER + row.format("A", "x"))
-    with pytest.raises(ValueError, match="2 tables"):
+    with pytest.raises(ValueError, match="it has 2"):
         NameKey(HEADER + row.format("A", "x") + "\ntext\n" + HEADER + row.format("B", "y") + FREQUENCY)
     assert markdown_tables("no table\n| a | b |\n| - | - |\n| `1` | 2 |")[0] == [{"a": "1", "b": "2"}]
 
@@ -41,7 +41,7 @@ def test_attrs_apply_twice():
     once = KEY.variable_attrs({"standard_name": "e", "long_name": "Evap", "units": "mm.day-1", "extra": 1}, "E")
     assert once["units"] == "mm d-1" and once["original_units"] == "mm.day-1" and once["extra"] == 1
     assert KEY.variable_attrs(once, "E") == once
-    assert once["unit_conversion"].startswith("none -- 'mm.day-1' and 'mm d-1'")
+    assert once["unit_conversion"].startswith("none") and "'mm.day-1'" in once["unit_conversion"] and "'mm d-1'" in once["unit_conversion"]
 
 
 @pytest.mark.parametrize("bad", ["4.3a", "v4.3", "v4.3ab", "v4a", " v4.3a"])
@@ -112,5 +112,9 @@ def test_title_and_summary():
     config = GridConfig(settings("/d", "temporal")).of("E")
     coverage = {"time_coverage_start": "1980-01-01", "time_coverage_end": "1981-02-01", "geospatial_lat_resolution": 0.5}
     words = described(config, {"time": 60, "lat": 20, "lon": 40}, coverage, {"long_name": "Total flux from fluxes 1.2b", "units": "mm d-1"})
-    assert words["title"] == "fluxes v1.2b daily average total flux (evaporation), native 0.5 degree global grid, 1980-1981, chunked for time series"
-    assert words["summary"].startswith("Total flux (evaporation, mm d-1) from fluxes v1.2b daily average, on the native")
+    for part in ("Total flux", "[evaporation]", "fluxes v1.2b", "1980 to 1981", "0.5 degrees", "long series"):
+        assert part in words["title"], part
+    assert "from fluxes 1.2b" not in words["title"]
+    assert "total flux".lower() in words["summary"].lower() and "mm d-1" in words["summary"] and "daily average" in words["summary"]
+    own = GridConfig({**config.settings, "describe": {"title": "{variable} {use}"}}).of("E")
+    assert described(own, {"time": 60, "lat": 20, "lon": 40}, coverage, {})["title"] == "evaporation long series"
