@@ -39,3 +39,34 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def slices(batch, most: int = 512):
+    """A record batch a few rows at a time, so that a worker holds few texts as Python objects."""
+    for at in range(0, batch.num_rows, most):
+        yield batch.slice(at, most)
+
+
+_NOTHING = object()
+
+
+class Remembered(dict):
+    """What ``make`` gave for the keys asked for lately, so that frequent keys are made once.
+
+    Bounded: when ``most`` keys are held they become the older generation, out of which keys that
+    are asked for again come back; the generation before it is forgotten.
+    """
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, _NOTHING)
+        if value is _NOTHING:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value

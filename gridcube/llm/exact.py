@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcube.llm.common import slices
+
 BUDGET = 64 << 20  # bytes of content that one table may hold
 FANOUT = 16
 RECORDS = "text binary, digest binary, keep_id long, group_size long, ties long"
@@ -140,8 +142,9 @@ def _spilled(path: str) -> Iterator[tuple]:
 
 def _reduced(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
     def records():
-        for batch in batches:
-            yield from zip(*(column.to_pylist() for column in batch.columns))
+        for whole in batches:
+            for batch in slices(whole):
+                yield from zip(*(column.to_pylist() for column in batch.columns))
 
     out: list = []
     size = 0

@@ -30,17 +30,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import kept
+from gridcube.llm.common import Remembered, kept, slices
 from gridcube.llm.components import components
 
 ROWS, BANDS = 5, 32
 RING = 1 << 20
 BLOCK = 768  # classes of a bucket compared as one block
 BLOCK_SHINGLES = 1 << 20  # and the shingles of a block
-WORDS_KNOWN = 300_000
+WORDS_KNOWN = 100_000
 
 _rings: dict = {}
-_words: dict[bytes, int] = {}
+_words = Remembered(xxhash.xxh3_64_intdigest, WORDS_KNOWN)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -59,11 +59,6 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     split = (text or "").encode().lower().split()
     if not split:
         return np.zeros(0, np.uint64)
-    if len(_words) > WORDS_KNOWN:
-        _words.clear()
-    for word in split:
-        if word not in _words:
-            _words[word] = xxhash.xxh3_64_intdigest(word)
     h = np.fromiter(map(_words.__getitem__, split), np.uint64, len(split))
     if len(h) < words:
         h = np.append(h, np.zeros(words - len(h), np.uint64))
@@ -105,7 +100,7 @@ def signed(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, set_key (a digest of the whole set, null for none), bands."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts, sizes, keys, found = batch.column(1).to_pylist(), [], [], []
             for text in texts:
                 own = shingles(text, words)
@@ -125,7 +120,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     set has that digest."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             sets = [shingles(text, words).tobytes() for text in batch.column(1).to_pylist()]
             right = pa.array([xxhash.xxh3_128_digest(own) == key for own, key in zip(sets, batch.column(2).to_pylist())], pa.bool_())
             columns = [batch.column(0), batch.column(2), pa.array(sets, pa.binary())]
@@ -214,7 +209,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int
     )
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             good = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y, n = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), 0

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import crc, kept, tokenizer_path
+from gridcube.llm.common import crc, kept, slices, tokenizer_path
 from gridcube.llm.tokens import encoder, in_parts
 
 LENGTH = 4096
@@ -204,7 +204,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, part in in_parts(texts):
                 rows = []

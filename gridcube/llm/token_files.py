@@ -25,7 +25,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import crc, kept, tokenizer_path
+from gridcube.llm.common import crc, kept, slices, tokenizer_path
 from gridcube.llm.tokens import encoder, in_parts
 from gridcube.session import fresh_dir
 
@@ -202,7 +202,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, out, path, first = encoder(tokenizer), None, f"{folder}/{uuid.uuid4().hex}.tok", None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, part in in_parts(texts):
                 for key, ids in zip(keys[at : at + len(part)], code.encode(part)):

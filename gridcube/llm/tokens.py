@@ -2,7 +2,7 @@
 
 The word-level vocabulary drops white space and never joins characters across it, so the ids of
 a text are the ids of its white-space separated chunks in turn. Chunks repeat, encoding does not
-have to: a worker keeps the ids of the chunks it has met, up to CACHE of them. Most chunks are a
+have to: a worker keeps the ids of the chunks it has met lately, a bounded number. Most chunks are a
 word of Latin letters, perhaps followed by punctuation. The vocabulary's rules make these one or
 two units, which go to its merge model straight; everything else goes through the whole tokenizer.
 """
@@ -17,7 +17,9 @@ from collections.abc import Iterable
 
 import numpy as np
 
-CACHE = 800_000  # chunks a worker remembers before it starts anew
+from gridcube.llm.common import Remembered
+
+CACHE = 200_000  # chunks in each of the two generations a worker remembers
 LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-;=-@\\[-`{}~]*)")
 
 _encoders: dict = {}
@@ -30,26 +32,30 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class Known(dict):
-    """Ids of chunks as bytes; a chunk asked for the first time is encoded."""
+class Chunks:
+    """Ids of single chunks as bytes."""
 
     def __init__(self, tokenizer, kind: str):
-        super().__init__()
+        self.tails: dict[str, bytes] = {}
         self.tokenizer, self.model, self.kind, self.letters = tokenizer, tokenizer.model, kind, _byte_letters()
 
-    def __missing__(self, chunk: bytes) -> bytes:
+    def ids(self, chunk: bytes) -> bytes:
         parts = LATIN.fullmatch(chunk.decode())
         ids = self._word(parts[1]) if parts else None
         if ids is None:
             ids = array(self.kind, self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
         elif parts[2]:
-            tail = parts[2].encode()
-            if tail not in self:
-                self[tail] = array(self.kind, self.tokenizer.encode(parts[2], add_special_tokens=False).ids).tobytes()
-            ids += self[tail]
-        self[chunk] = ids
+            ids += self._tail(parts[2])
         return ids
 
+    def _tail(self, marks: str) -> bytes:
+        found = self.tails.get(marks)
+        if found is None:
+            found = array(self.kind, self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
+            if len(marks) < 4:
+                self.tails[marks] = found
+        return found
+
     def _word(self, word: str) -> bytes | None:
         """Ids of a word of Latin letters; None where it would not stay one unit."""
         if word.isascii():
@@ -71,12 +77,10 @@ class Encoder:
         tokenizer = Tokenizer.from_file(path)
         small = tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
         self.dtype = np.dtype("<u2" if small else "<u4")
-        self.tokenizer, self.known = tokenizer, Known(tokenizer, "H" if small else "I")
+        self.tokenizer, self.known = tokenizer, Remembered(Chunks(tokenizer, "H" if small else "I").ids, CACHE)
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids per text; a null text is an empty one."""
-        if len(self.known) > CACHE:
-            self.known.clear()
         ids, out = self.known.__getitem__, []
         for text in texts:
             raw = (text or "").encode()

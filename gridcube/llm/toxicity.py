@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import bucket_of, kept
+from gridcube.llm.common import Remembered, bucket_of, kept, slices
+from gridcube.llm.minhash import signed
 
 FIT_ROWS = 6000  # labelled rows of each class at most that a model is fitted on
 MOST_TERMS = 2000  # terms of the lexicon
 STEMS = (4, 5, 6)  # lengths of word beginnings that may become terms
 WINDOW = 8  # words on either side of a hit
-KNOWN = 300_000
+KNOWN = 100_000  # words in each of the two generations whose verdict a worker remembers
+CROWDED = 3  # clean words close to a term from which on only its exact spelling counts
 HELD_OUT = 5  # rows whose crc32(doc_id) is divisible by it are never learned from
 
 EDGE = re.compile(r"^[^\w@$]+|[^\w]+$")
@@ -55,19 +57,21 @@ def distance_of(term: str) -> int:
 class Lexicon:
     """The intersection of a trie of terms with the Levenshtein automata of their distances.
 
-    ``terms``: weights of words; one that ends in * is a stem, which any word that begins with it matches.
+    ``terms``: weights of words; one that ends in * is a stem, which any word that begins with it
+    matches. Words in ``exceptions`` match nothing, terms in ``exact`` only themselves.
     """
 
-    def __init__(self, terms: dict[str, float], exceptions=()):
+    def __init__(self, terms: dict[str, float], exceptions=(), exact=()):
         self.exceptions = frozenset(exceptions)
+        self.term: list[str] = [""]
         self.child: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]  # distance allowed to the term that ends here
         self.weight: list[float] = [0.0]
         self.stem: list[float] = [0.0]  # weight of the stem that ends here
         self.room: list[int] = [0]  # most errors that any term below allows
         for term, weight in terms.items():
-            self._add(term, weight)
-        self.known: dict[str, tuple | None] = {}
+            self._add(term, weight, 0 if term in exact or term.endswith("*") else distance_of(term))
+        self.known = Remembered(lambda token: self.match(cleaned(token)), KNOWN)
         self._reset()
 
     def _reset(self) -> None:
@@ -77,10 +81,9 @@ class Lexicon:
         self.verdicts: list[tuple | None] = []
         self.start = self._state(self._closed({(0, 0)}), 0.0)
 
-    def _add(self, term: str, weight: float) -> None:
+    def _add(self, term: str, weight: float, allowed: int) -> None:
         stem = term.endswith("*")
         word = term.rstrip("*")
-        allowed = 0 if stem else distance_of(word)
         node = 0
         self.room[0] = max(self.room[0], allowed)
         for c in word:
@@ -88,6 +91,7 @@ class Lexicon:
                 self.child[node][c] = len(self.child)
                 self.child.append({})
                 self.ends.append(-1)
+                self.term.append("")
                 self.weight.append(0.0)
                 self.stem.append(0.0)
                 self.room.append(0)
@@ -96,7 +100,7 @@ class Lexicon:
         if stem:
             self.stem[node] = weight
         else:
-            self.ends[node], self.weight[node] = allowed, weight
+            self.ends[node], self.weight[node], self.term[node] = allowed, weight, term
 
     def _closed(self, places: set) -> frozenset:
         """With the places reached by leaving out characters of a term."""
@@ -120,9 +124,9 @@ class Lexicon:
             self.numbers[key] = len(self.states)
             self.states.append(key)
             self.moves.append({})
-            reached = [(errors > 0, self.weight[node]) for node, errors in places if errors <= self.ends[node]]
+            reached = [(errors > 0, self.weight[node], self.term[node]) for node, errors in places if errors <= self.ends[node]]
             if stem:
-                reached.append((False, stem))
+                reached.append((False, stem, ""))
             self.verdicts.append(min(reached, key=lambda r: (r[0], -r[1]), default=None))
         return self.numbers[key]
 
@@ -140,8 +144,8 @@ class Lexicon:
         self.moves[state][c] = target
         return target
 
-    def match(self, word: str) -> tuple[bool, float] | None:
-        """(misspelled, weight) of the term or stem that the word stands for, if any."""
+    def match(self, word: str) -> tuple[bool, float, str] | None:
+        """(misspelled, weight, term) of the term or stem that the word stands for, if any."""
         if word in self.exceptions:
             return None
         if len(self.states) > 50_000:
@@ -159,16 +163,12 @@ class Lexicon:
     def features(self, text: str | None) -> list[float]:
         tokens = (text or "").lower().split()
         known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        for token in set(tokens):
-            if token not in known:
-                known[token] = self.match(cleaned(token))
-        hits = [i for i, token in enumerate(tokens) if known[token]]
+        verdicts = list(map(known.__getitem__, tokens))
+        hits = [i for i, verdict in enumerate(verdicts) if verdict]
         sums = [0.0, 0.0, 0.0, 0.0]
         densest = first = 0
         for n, i in enumerate(hits):
-            misspelled, weight = known[tokens[i]]
+            misspelled, weight, _ = verdicts[i]
             sums[2 * misspelled + _reported(tokens, i)] += weight
             while hits[first] < i - 2 * WINDOW:
                 first += 1
@@ -197,6 +197,15 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, rows: int = FIT_RO
     return docs.select(F.col("doc_id").alias("_id"), "text").join(some, "_id").select("_id", F.coalesce("text", F.lit("")).alias("text"), "label")
 
 
+def unlike(sample: DataFrame) -> DataFrame:
+    """One row of each group of near copies among the sampled rows, roughly: words of a text that
+    was copied a hundred times would otherwise look as telling as words of a hundred texts."""
+    seen = signed(sample.select(F.col("_id").alias("doc_id"), "text"), 2, 2, 6).select("doc_id", F.explode("bands").alias("hash"))
+    first = seen.groupBy("hash").agg(F.min("doc_id").alias("first"))
+    own = seen.join(first, "hash").groupBy("doc_id").agg(F.min("first").alias("first")).where("first = doc_id")
+    return sample.join(own.select(F.col("doc_id").alias("_id")), "_id")
+
+
 def _vocabulary(rows: DataFrame) -> DataFrame:
     """(term, toxic, clean): in how many documents of either class each word and stem occurs."""
 
@@ -228,9 +237,9 @@ def surprise(a: float, b: float, total_a: float, total_b: float) -> float:
 def _lexicon(counts: list, toxic: int, clean: int) -> dict[str, float]:
     """Terms that speak for the label on their own, and their log odds. A stem must speak louder
     than each of its words and stand for several of them."""
-    strong = {}
+    strong, least = {}, 8 + 2 * math.log(toxic + 1)  # more rows bring more words that look telling by chance
     for term, a, b in counts:
-        if a / toxic > 12 * (b + 0.5) / (clean + 1) and (score := surprise(a, b, toxic, clean)) > 14:
+        if a / toxic > 12 * (b + 0.5) / (clean + 1) and (score := surprise(a, b, toxic, clean)) > least:
             strong[term] = score, math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
     out = []
     seen = Counter(t[:n] for t, _, _ in counts if not t.endswith("*") for n in STEMS if len(t) > n)
@@ -265,11 +274,11 @@ def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = RID
 
 
 class Model:
-    def __init__(self, terms: dict[str, float], exceptions: list[str], beta: np.ndarray):
-        self.terms, self.exceptions, self.beta = terms, exceptions, beta
+    def __init__(self, terms: dict[str, float], exceptions: list[str], exact: list[str], beta: np.ndarray):
+        self.terms, self.exceptions, self.exact, self.beta = terms, exceptions, exact, beta
 
     def scorer(self):
-        lexicon = Lexicon(self.terms, self.exceptions)
+        lexicon = Lexicon(self.terms, self.exceptions, self.exact)
 
         def score(texts: list) -> np.ndarray:
             x = np.array([lexicon.features(t) for t in texts]).reshape(-1, len(self.beta))
@@ -281,11 +290,11 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Learn lexicon, exceptions and weights. Without labels of both classes the model has no
     terms and scores everything by the prior."""
-    sample = kept(labelled(docs, labels, "toxic", rows))
+    sample = kept(unlike(kept(labelled(docs, labels, "toxic", rows))))
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
-        return Model({}, [], PRIOR)
+        return Model({}, [], [], PRIOR)
     vocabulary = kept(_vocabulary(sample))
     often = vocabulary.where((F.col("toxic") >= 2) & (F.col("toxic") / toxic > 12 * (F.col("clean") + 0.5) / (clean + 1)))
     terms = _lexicon([tuple(r) for r in often.collect()], toxic, clean)
@@ -293,13 +302,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [t for t in batch.column(0).to_pylist() if (hit := lexicon.match(t)) and hit[0]]
-            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["term"])
+            near = [(w, hit[2]) for w in batch.column(0).to_pylist() if (hit := lexicon.match(w)) and hit[0]]
+            words, of = zip(*near) if near else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(of, pa.string())], ["word", "term"])
 
-    plain = vocabulary.where(~F.endswith("term", F.lit("*")) & (F.col("clean") / clean > F.col("toxic") / toxic))
-    exceptions = [r["term"] for r in plain.select("term").mapInArrow(close, "term string").collect()]  # a few per term
+    plain = vocabulary.where(~F.endswith("term", F.lit("*")) & (F.col("clean") > 0))  # terms match themselves exactly and stay
+    near = kept(plain.select("term").mapInArrow(close, "word string, term string"))
+    # a term that clean words crowd around says nothing about other spellings of it
+    exact = [r["term"] for r in near.groupBy("term").count().where(F.col("count") > CROWDED).collect()]
+    exceptions = [r["word"] for r in near.where(~F.col("term").isin(exact)).select("word").collect()]  # a few per term left
 
-    known = Lexicon(terms, exceptions)
+    known = Lexicon(terms, exceptions, exact)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +321,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
 
     fitted = sample.select("text", "label").mapInArrow(features, "x array<double>, label int").collect()  # the bounded sample
     x, y = np.array([r["x"] for r in fitted]), np.array([r["label"] for r in fitted], float)
-    return Model(terms, exceptions, logistic(x, y, PRIOR))
+    return Model(terms, exceptions, exact, logistic(x, y, PRIOR))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, model: Model | None = None) -> DataFrame:
@@ -321,7 +334,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, model: Mo
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = learned.scorer()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer(batch.column(1).to_pylist()), pa.float64())], ["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double")
@@ -337,7 +350,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> D
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = learned.scorer()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             yield batch.filter(pa.array(scorer(batch.column(text).to_pylist()) < 0.5, pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)
