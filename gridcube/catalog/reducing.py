@@ -55,7 +55,7 @@ def annual_resample(spark, folder):
              ELSE quantile_cont(cents, 0.995) END, 3) AS value
     FROM ships, (VALUES (CAST(1.0 AS DOUBLE)), (2.0), (50.0), (98.0), (99.5)) v(p) GROUP BY variable, p""")
 def percentiles(spark, folder):
-    found = exact_percentiles(ship_cells(spark, folder), ["variable"], "cents", [1.0, 2.0, 50.0, 98.0, 99.5])
+    found = exact_percentiles(ship_cells(spark, folder), ["variable"], "cents", [1.0, 2.0, 50.0, 98.0, 99.5], costly=True)
     return found.select("variable", "percent", F.round("value", 3).alias("value"))
 
 
@@ -70,7 +70,7 @@ def robust_limits(spark, folder):
     field = reduce.period_difference(
         ship_cells(spark, folder), ["variable", "i", "j"], select.period("1999"), select.period("1996"), "cents"
     )
-    found = limits_of(field, ["variable"], "difference", 1.0, 99.0, symmetric=True)
+    found = limits_of(field, ["variable"], "difference", 1.0, 99.0, symmetric=True, costly=True)
     return found.select("variable", F.round("vmin", 3).alias("vmin"), F.round("vmax", 3).alias("vmax"))
 
 

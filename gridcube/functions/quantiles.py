@@ -57,12 +57,13 @@ def _pinned(targets: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def exact_percentiles(
-    df: DataFrame, groups: list[str], value: str, percents: list[float]
+    df: DataFrame, groups: list[str], value: str, percents: list[float], costly: bool = False
 ) -> DataFrame:
     """(groups..., percent, value): linear interpolation between closest ranks.
 
-    Only finite values count. ``df`` is read once per digit that is needed, two or
-    three times, so pass something cheap to recompute, or a checkpoint.
+    Only finite values count. ``df`` is read once per digit that is needed, two or three
+    times. ``costly`` says that it is more than a scan: equal values are then counted once and
+    kept, and all digits work on those counts.
     """
     widths = _WIDTHS.get(df.schema[value].dataType.typeName(), _DOUBLE)
     names = [f"_d{k}" for k in range(len(widths))]
@@ -71,13 +72,18 @@ def exact_percentiles(
     rows = df.where(is_finite(F.col(value)))
     if not groups:
         rows = rows.withColumn("_all", F.lit(0))
-    rows = with_digits(rows.select(*by, double.alias("_v")), "_v", widths, names)
+    rows = rows.select(*by, double.alias("_v"))
+    if costly:
+        rows = cut_lineage(rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_times")))
+    else:
+        rows = rows.withColumn("_times", F.lit(1).cast("long"))
+    rows = with_digits(rows, "_v", widths, names)
     before = F.col("_upto") - F.col("_n")
     holds_rank = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= before)
 
     def histogram(source: DataFrame, keys: list[str], digit: str) -> DataFrame:
         counted = source.groupBy(*keys, digit).agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_v"), F.max("_v").alias("_w")
+            F.sum("_times").alias("_n"), F.min("_v").alias("_v"), F.max("_v").alias("_w")
         )
         inside = Window.partitionBy(*keys)
         return counted.withColumn(
@@ -122,10 +128,10 @@ def exact_percentiles(
 
 def robust_limits(
     df: DataFrame, groups: list[str], value: str, low: float = 2.0, high: float = 98.0,
-    symmetric: bool = False,
+    symmetric: bool = False, costly: bool = False,
 ) -> DataFrame:
     """(groups..., vmin, vmax): percentile limits, optionally centred on zero."""
-    found = exact_percentiles(df, groups, value, [low, high])
+    found = exact_percentiles(df, groups, value, [low, high], costly)
     pick = lambda p: F.max(F.when(F.col("percent") == p, F.col("value")))
     limits = found.groupBy(*groups).agg(pick(low).alias("vmin"), pick(high).alias("vmax"))
     if not symmetric:

@@ -48,7 +48,7 @@ def size_stats(rows: DataFrame, by: Sequence[str]) -> DataFrame:
         F.min("nbytes").alias("min_bytes"), F.max("nbytes").alias("max_bytes"),
         F.sum("nbytes").alias("sum_bytes"), F.count(F.lit(1)).alias("n_chunks"),
     )
-    middle = exact_percentiles(rows, list(by), "nbytes", [50.0]).select(
+    middle = exact_percentiles(rows, list(by), "nbytes", [50.0], costly=True).select(
         *by, F.col("value").alias("median_bytes")
     )
     return sums.join(middle, list(by))
