@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts reach workers some megabytes at a time: rows here are documents, not numbers, and
+    Spark's ten thousand of them are a large part of a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def kept(df: DataFrame) -> DataFrame:
     """The rows, computed once, in files that outlive any executor."""
     return cut_lineage(df)

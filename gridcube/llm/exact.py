@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import slices
+from gridcube.llm.common import slices, small_batches
 
 BUDGET = 64 << 20  # bytes of content that one table may hold
 FANOUT = 16
@@ -178,6 +178,7 @@ def classes(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     def reduce_(batches):
         return _reduced(batches, budget)
 
+    small_batches(docs.sparkSession)
     local = rows.mapInArrow(reduce_, RECORDS)
     return local.repartition("digest").mapInArrow(reduce_, RECORDS).drop("text")
 

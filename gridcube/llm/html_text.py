@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcube.llm.common import small_batches
+
 FIT_PAGES = 240  # pages that the trees learn from
 TREES, DEPTH, RATE, BINS = 30, 4, 0.3, 32
 
@@ -375,6 +377,7 @@ def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
     could be learned, because no sampled page has a semantic tag, no page has main text. Rows repeated
     get equal answers. No rows give no rows.
     """
+    small_batches(pages.sparkSession)
     learned = model or fit(pages)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import bucket_of
+from gridcube.llm.common import bucket_of, small_batches
 
 SAMPLE_ROWS = 200  # labelled rows per language at most
 SAMPLE_CHARS = 30_000  # characters of sample per language at most
@@ -182,6 +182,7 @@ def languages(docs: DataFrame, samples: dict[str, str] | None = None) -> DataFra
     learned. score compares the winner's pieces per letter with the others'. Ties go to the
     language that sorts first. held_out is null where doc_id is. No rows give no rows.
     """
+    small_batches(docs.sparkSession)
     learned = sample(docs) if samples is None else samples
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import Remembered, kept, slices
+from gridcube.llm.common import Remembered, kept, slices, small_batches
 from gridcube.llm.components import components
 
 ROWS, BANDS = 5, 32
@@ -111,6 +111,7 @@ def signed(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
                 ["doc_id", "n_shingles", "set_key", "bands"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         sign, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import crc, kept, slices, tokenizer_path
+from gridcube.llm.common import crc, kept, slices, small_batches, tokenizer_path
 from gridcube.llm.tokens import encoder, in_parts
 
 LENGTH = 4096
@@ -219,6 +219,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
                     [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)],
                     ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES_WITH_IDS if with_ids else PIECES)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import bucket_of
+from gridcube.llm.common import bucket_of, small_batches
 from gridcube.llm.toxicity import labelled
 
 FIT_ROWS = 2000  # labelled rows of each class at most
@@ -96,6 +96,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", rows: int = FIT_ROWS) -> Model | None:
     """Learn the space and the voters; None without labels of both classes."""
+    small_batches(docs.sparkSession)
     sample = labelled(docs, labels, column, rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import crc, kept, slices, tokenizer_path
+from gridcube.llm.common import crc, kept, slices, small_batches, tokenizer_path
 from gridcube.llm.tokens import encoder, in_parts
 from gridcube.session import fresh_dir
 
@@ -217,6 +217,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
                 pa.schema([("path", pa.string()), *((n, pa.int64()) for n in ("first_key", "nulls", "n_docs", "n_ids"))]),
             )
 
+    small_batches(docs.sparkSession)
     files, inner = file_system(folder)
     files.create_dir(inner, recursive=True)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcube.llm.common import Remembered, bucket_of, kept, slices
+from gridcube.llm.common import Remembered, bucket_of, kept, slices, small_batches
 from gridcube.llm.minhash import signed
 
 FIT_ROWS = 6000  # labelled rows of each class at most that a model is fitted on
@@ -290,6 +290,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Learn lexicon, exceptions and weights. Without labels of both classes the model has no
     terms and scores everything by the prior."""
+    small_batches(docs.sparkSession)
     sample = kept(unlike(kept(labelled(docs, labels, "toxic", rows))))
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
