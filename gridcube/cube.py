@@ -20,7 +20,6 @@ from gridcube.functions.fixed import BRANCH
 from gridcube.functions.quantiles import robust_limits
 from gridcube.operators import chunks as chunk_ops
 from gridcube.operators import merge, reduce, select
-from gridcube.plans.build import differing_labels
 from gridcube.plans.store import Store
 
 BROADCAST_ROWS = 1_000_000
@@ -45,13 +44,14 @@ class Cube:
         """Open variables by either spelling. Unequal axes are an error, never an outer join."""
         originals = [config.key.resolve(n) for n in names]
         cube = cls({config.key.canonical(n): Store.open(spark, config.of(n).store_path) for n in originals}, ref)
-        first, *others = cube.stores.items()
-        for name, store in others:
-            pairs = [("time", first[1].axis(ref), store.axis(ref), "days")]
-            pairs += [(d, first[1].coordinate(d, ref), store.coordinate(d, ref), "value") for d in ("lat", "lon")]
-            for dim, a, b, label in pairs:
-                if differing_labels(a, b, label):
-                    raise merge.AxesDiffer(f"{first[0]!r} and {name!r} differ on axis {dim!r}")
+        labels = fold(DataFrame.unionByName, [
+            s.dims(ref).where((F.col("dim") != "time") | (F.col("idx") < s.state(ref)["sizes"]["time"])) for s in cube.stores.values()
+        ])
+        # one job for all axes of all stores: every label must be there as often as there are stores
+        unlike = labels.groupBy("dim", "idx", "value", "days").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != len(cube.stores))
+        found = unlike.orderBy("dim", "idx").limit(1).collect() if len(cube.stores) > 1 else []
+        if found:
+            raise merge.AxesDiffer(f"{list(cube.stores)} differ on axis {found[0].dim!r}, at {found[0].idx}")
         return cube
 
     @property
@@ -138,7 +138,7 @@ class Cube:
 
     def wide(self) -> DataFrame:
         """t, i, j and one column per variable."""
-        return merge.merge_exact(self.cells(labels=False), list(self.stores), check=False)
+        return merge.merge_exact(self.cells(labels=False), list(self.stores))  # axes were compared by open()
 
     def map(self) -> DataFrame:
         """variable, lat, lon, value with rows counted from the north: an image, as rows."""

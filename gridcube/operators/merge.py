@@ -14,40 +14,40 @@ class AxesDiffer(ValueError):
     """Variables that should share their axes do not."""
 
 
-def axis_mismatches(cells: DataFrame, names: Sequence[str], axes: Sequence[str] = CELL) -> DataFrame:
-    """(axis, position, n_variables): axis positions that not every variable has.
+def positions(cells: DataFrame, axes: Sequence[str] = CELL) -> DataFrame:
+    """(variable, axis, position): the axes that cells themselves span.
 
-    One pass: each cell contributes its position on every axis, and the distinct
-    (axis, position, variable) triples are far fewer than the cells.
+    Each cell contributes its position on every axis, and the distinct triples are far
+    fewer than the cells. For sparse cells an axis may be longer than what they span.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).cast("long").alias("position")) for a in axes]))
+    return cells.select("variable", each.alias("p")).select("variable", "p.axis", "p.position").distinct()
+
+
+def axis_mismatches(axes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(axis, position, n_variables): positions that not every variable's axis has.
+
+    ``axes``: (variable, axis, position), each triple once.
     """
-    positions = F.explode(
-        F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("position")) for a in axes])
-    )
-    held = (
-        cells.where(F.col("variable").isin(*names))
-        .select("variable", positions.alias("p"))
-        .select("variable", "p.axis", "p.position")
-        .distinct()
-    )
     return (
-        held.groupBy("axis", "position")
+        axes.where(F.col("variable").isin(*names)).groupBy("axis", "position")
         .agg(F.count(F.lit(1)).alias("n_variables"))
         .where(F.col("n_variables") < len(names))
     )
 
 
-def merge_exact(
-    cells: DataFrame, names: Sequence[str], value: str = "value", check: bool = True
-) -> DataFrame:
+def merge_exact(cells: DataFrame, names: Sequence[str], value: str = "value", axes: DataFrame | None = None) -> DataFrame:
     """One row per position, one column per variable, from equal axes only.
 
-    A single conditional aggregation on (t, i, j): one shuffle for any number of
-    variables where a chain of joins would take one per variable.
+    ``axes`` are the variables' axes, which are compared; None where the caller has compared
+    them. A missing cell is not a missing label, so cells do not stand in for axes. A single
+    conditional aggregation on (t, i, j): one shuffle for any number of variables where a chain
+    of joins would take one per variable.
     """
-    if check:
-        found = axis_mismatches(cells, names).limit(1).collect()
+    if axes is not None:
+        found = axis_mismatches(axes, names).orderBy("axis", "position").limit(1).collect()
         if found:
-            raise AxesDiffer(f"{list(names)} differ on axis {found[0].axis!r}")
+            raise AxesDiffer(f"{list(names)} differ on axis {found[0].axis!r}, at {found[0].position}")
     return (
         cells.where(F.col("variable").isin(*names))
         .groupBy(*CELL)

@@ -37,9 +37,11 @@ def test_comparison_is_exact_and_knows_nan(spark):
 
 def test_merge_exact_refuses_unequal_axes(spark):
     rows = [(v, t, 0, 0, 1.0) for v in "ab" for t in range(3)]
-    assert merge.merge_exact(cells(spark, rows), ["a", "b"]).count() == 3
-    with pytest.raises(merge.AxesDiffer, match="'t'"):
-        merge.merge_exact(cells(spark, rows[:-1]), ["a", "b"])
+    assert merge.merge_exact(cells(spark, rows), ["a", "b"], axes=merge.positions(cells(spark, rows))).count() == 3
+    with pytest.raises(merge.AxesDiffer, match="'t', at 2"):
+        merge.merge_exact(cells(spark, rows[:-1]), ["a", "b"], axes=merge.positions(cells(spark, rows[:-1])))
+    # a cell without data is no missing label
+    assert merge.merge_exact(cells(spark, rows[:-1]), ["a", "b"], axes=merge.positions(cells(spark, rows))).count() == 3
 
 
 def test_unknown_names_fail(spark):
