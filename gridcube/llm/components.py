@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from gridcube.llm.common import kept
 
 
+PER_FILE = 500_000  # links in a kept file; rounds over few links write few files
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(vertex, component) for every vertex that has a link; component is the smallest vertex.
 
@@ -29,7 +32,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = _star(both, both.where("v > u"))
         # in the orientation u > v, v and u itself hang on the smallest v
-        edges = kept(_star(edges, edges, centre_too=True))
+        edges = kept(_star(edges, edges, centre_too=True).coalesce(1 + mark[0] // PER_FILE))
         now = _mark(edges)
         if now == mark:
             break

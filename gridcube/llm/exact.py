@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from gridcube.llm.common import slices, small_batches
 
-BUDGET = 64 << 20  # bytes of content that one table may hold
+BUDGET = 32 << 20  # bytes of content that one table may hold
 FANOUT = 16
 RECORDS = "text binary, digest binary, keep_id long, group_size long, ties long"
 

@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -170,20 +169,22 @@ def forest(left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> tuple[np.
 
 
 def _compared(percent: int):
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
+    def compare(group: pa.Table) -> pa.Table:
         """One pair of blocks of a bucket: links between different components, as a forest."""
-        first = group["own"] == group["i"]
-        sides = (group, group) if group["i"].iat[0] == group["j"].iat[0] else (group[first], group[~first])
-        if not len(sides[0]) or not len(sides[1]):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        sets = [[np.frombuffer(h, np.uint64) for h in side["hashes"]] for side in sides]
-        ids, comp = ([side[c].to_numpy(np.int64) for side in sides] for c in ("class_id", "component"))
-        size = [np.array([len(s) for s in side], np.float64) for side in sets]
-        both = _overlap(*sets).astype(np.float64)
-        linked = 100 * both >= percent * (size[0][:, None] + size[1][None, :] - both)
-        linked &= comp[0][:, None] != comp[1][None, :]
-        a, b = np.concatenate(ids), np.concatenate(forest(*ids, linked))
-        return pd.DataFrame({"a": a[a != b], "b": b[a != b]}).drop_duplicates()
+        i, j, own, ids, comp = (group.column(c).to_numpy() for c in ("i", "j", "own", "class_id", "component"))
+        sets = np.empty(len(own), object)
+        sets[:] = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
+        rows = np.arange(len(own))
+        first, second = (rows, rows) if i[0] == j[0] else (rows[own == i], rows[own != i])
+        low = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(first) and len(second):
+            size = np.array([len(s) for s in sets], np.float64)
+            both = _overlap(list(sets[first]), list(sets[second])).astype(np.float64)
+            linked = 100 * both >= percent * (size[first][:, None] + size[second][None, :] - both)
+            linked &= comp[first][:, None] != comp[second][None, :]
+            low = np.concatenate([ids[first], ids[second]]), np.concatenate(forest(ids[first], ids[second], linked))
+        a, b = (side[low[0] != low[1]] for side in low)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return compare
 
@@ -232,7 +233,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int
         "own", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = rest.select("class_id", "component", "hash", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    late = tiles.join(sets, "class_id").groupBy("hash", "i", "j").applyInPandas(_compared(percent), "a long, b long")
+    late = tiles.join(sets, "class_id").groupBy("hash", "i", "j").applyInArrow(_compared(percent), "a long, b long")
     return components(stars.union(kept(late)), "a", "b")
 
 

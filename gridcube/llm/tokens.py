@@ -19,7 +19,7 @@ import numpy as np
 
 from gridcube.llm.common import Remembered
 
-CACHE = 150_000  # chunks in each of the two generations a worker remembers
+CACHE = 300_000  # chunks in each of the two generations a worker remembers
 LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-;=-@\\[-`{}~]*)")
 
 _encoders: dict = {}

@@ -210,7 +210,7 @@ def _vocabulary(rows: DataFrame) -> DataFrame:
     """(term, toxic, clean): in how many documents of either class each word and stem occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 128)):
             toxic, clean = Counter(), Counter()
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = {w for w in map(cleaned, set(text.lower().split())) if 2 < len(w) <= 40}
