@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridcube.catalog.registry import query
 from gridcube.functions import grid, text
-from gridcube.operators import chunks, merge, ordering, reduce
+from gridcube.operators import chunks, merge, ordering
 from gridcube.sources.tables import (
     EVENTS_SQL, SHIP_START, event_cells, table,
 )
