@@ -2,9 +2,9 @@
 
 Rows are partitioned by content twice. Each input partition first reduces its own copies, so
 that a text with millions of copies leaves one row per partition; the survivors are shuffled by
-digest and reduced again. Both times the same Grace step runs: records are dealt by a hash to
-spill files, a file that is still too large is dealt again with another hash, and every bucket
-that fits is put through an open-addressing table that compares complete contents. Spill files
+digest and reduced again. Both times the same Grace step runs: records go through an
+open-addressing table that compares complete contents and folds copies; contents that exceed it
+are dealt by a hash to spill files, and each file goes the same way with another hash. Spill files
 lie in the task's own temporary folder and are gone when the task ends; a task that is run again
 starts from its input.
 
@@ -15,6 +15,7 @@ ambiguous; the table compares contents, would see it, and raises.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import pickle
 import tempfile
@@ -40,7 +41,8 @@ class OpenTable:
         self.slots: list = [None] * (self.mask + 1)
         self.used = 0
 
-    def put(self, key: int, text: bytes, digest: bytes, top, size: int, ties: int) -> None:
+    def put(self, key: int, text: bytes, digest: bytes, top, size: int, ties: int) -> bool:
+        """Whether the content is new to the table."""
         if 2 * self.used > self.mask:
             self._grow()
         slots, mask = self.slots, self.mask
@@ -54,10 +56,11 @@ class OpenTable:
                     held[3], held[5] = top, ties
                 elif top == held[3]:
                     held[5] += ties
-                return
+                return False
             at = (at + 1) & mask
         slots[at] = [key, text, digest, top, size, ties]
         self.used += 1
+        return True
 
     def _grow(self) -> None:
         old, self.mask = self.slots, 2 * self.mask + 1
@@ -73,29 +76,26 @@ class OpenTable:
         return (tuple(held[1:]) for held in self.slots if held is not None)
 
 
-def _key(digest: bytes, level: int) -> int:
-    """Another eight bytes of the digest for each level of the recursion."""
-    at = (8 * level) % 24
-    return int.from_bytes(digest[at : at + 8], "little") ^ (level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+def _choice(digest: bytes, level: int) -> int:
+    """The spill file of a digest: another hash of the whole digest at each level, however deep."""
+    return hashlib.blake2b(digest, digest_size=1, salt=level.to_bytes(16, "little")).digest()[0] % FANOUT
 
 
 def grace(records: Iterator[tuple], budget: int = BUDGET, level: int = 0) -> Iterator[tuple]:
     """One record per distinct content out of (text, digest, top, size, ties) records.
 
-    Records stay in memory while they fit the budget and are dealt to FANOUT spill files
-    beyond it. A file whose digests are all equal is one text, which no hash can split;
-    it is reduced as it is read, holding one content.
+    Records are folded in a table as they are read, so that the budget counts distinct contents
+    and copies cost nothing. When the contents exceed it, the table is dealt to FANOUT spill files
+    and filled anew. A file whose digests are all equal is one text, which no hash can split; it is
+    reduced as it is read, holding one content.
     """
-    held, size = [], 0
+    table, size = OpenTable(1), 0
     for record in records:
-        held.append(record)
-        size += len(record[0]) + 200
-        if size > budget:
-            break
+        if table.put(int.from_bytes(record[1][:8], "little"), *record):
+            size += len(record[0]) + 200
+            if size > budget:
+                break
     else:
-        table = OpenTable(len(held))
-        for record in held:
-            table.put(_key(record[1], 3), *record)
         yield from table.rows()
         return
 
@@ -105,27 +105,33 @@ def grace(records: Iterator[tuple], budget: int = BUDGET, level: int = 0) -> Ite
         first: list = [None] * FANOUT
         alike = [True] * FANOUT
 
-        def deal(record: tuple) -> None:
-            k = _key(record[1], level) % FANOUT
-            alike[k] = alike[k] and first[k] in (None, record[1])
-            first[k] = record[1]
-            pickle.dump(record, files[k], protocol=pickle.HIGHEST_PROTOCOL)
+        def deal(full: OpenTable) -> None:
+            for record in full.rows():
+                k = _choice(record[1], level)
+                alike[k] = alike[k] and first[k] in (None, record[1])
+                first[k] = record[1]
+                pickle.dump(record, files[k], protocol=pickle.HIGHEST_PROTOCOL)
 
-        for record in held:
-            deal(record)
-        del held
+        deal(table)
+        table, size = OpenTable(1), 0
         for record in records:
-            deal(record)
+            if table.put(int.from_bytes(record[1][:8], "little"), *record):
+                size += len(record[0]) + 200
+                if size > budget:
+                    deal(table)
+                    table, size = OpenTable(1), 0
+        deal(table)
+        del table
         for file in files:
             file.close()
         for k, file in enumerate(files):
             if first[k] is None:
                 continue
             if alike[k]:
-                table = OpenTable(1)
+                single = OpenTable(1)
                 for record in _spilled(file.name):
-                    table.put(_key(record[1], 3), *record)
-                yield from table.rows()
+                    single.put(int.from_bytes(record[1][:8], "little"), *record)
+                yield from single.rows()
             else:
                 yield from grace(_spilled(file.name), budget, level + 1)
             os.unlink(file.name)

@@ -38,6 +38,36 @@ def test_grace_splits_to_files_and_keeps_totals():
     assert {r[0]: r[2] for r in rows} == {t: k for k, t in enumerate(texts)}
 
 
+def agreeing(choices, n):
+    """n texts whose digests get the same three choices."""
+    found = defaultdict(list)
+    for k in range(100_000):
+        text = f"{k} ".encode() * 200
+        found[tuple(choices(hashlib.sha256(text).digest()))].append(text)
+        if len(hit := found[tuple(choices(hashlib.sha256(text).digest()))]) == n:
+            return hit
+
+
+@pytest.mark.parametrize("choices", [
+    lambda digest: [digest[at] % 16 for at in (0, 8, 16)],
+    lambda digest: [exact._choice(digest, level) for level in range(3)],
+])
+def test_grace_splits_texts_that_agree_in_three_levels(choices):
+    hot, *others = agreeing(choices, 3)
+    texts = others[:1] + [hot] * 500 + others
+    records = [(t, hashlib.sha256(t).digest(), k, 1, 1) for k, t in enumerate(texts)]
+    rows = list(exact.grace(iter(records), budget=len(hot) + 300))
+    assert {r[0]: r[3] for r in rows} == Counter(texts) and len(rows) == 3
+    assert {r[0]: r[2] for r in rows} == {t: k for k, t in enumerate(texts)}
+
+
+def test_grace_counts_distinct_contents(monkeypatch):
+    monkeypatch.setattr(exact.tempfile, "TemporaryDirectory", lambda **_: pytest.fail("copies were spilled"))
+    texts = [b"hot" * 1000] * 2000 + [b"other"]
+    rows = list(exact.grace(((t, hashlib.sha256(t).digest(), k, 1, 1) for k, t in enumerate(texts)), budget=10_000))
+    assert {r[0]: r[3] for r in rows} == Counter(texts)
+
+
 def test_grace_tells_a_digest_collision():
     same = b"x" * 32
     with pytest.raises(ValueError, match="digest"):
