@@ -4,9 +4,11 @@ Fitting, on a bounded sample of labelled rows: words and word stems whose docume
 strongly for the toxic label become the lexicon, a trie. The automaton that accepts every word
 within a term's allowed distance of it is intersected with the trie; its states are sets of
 (trie node, errors), made deterministic as they are met and kept per worker, so that most words
-leave it after a few characters. Words that clean documents use are exceptions, however close to
-a term they come. Hits count differently by distance and by context: a window around each hit
-tells whether it stands in quotation marks or beside a word of reporting, and how dense hits are.
+leave it after a few characters. Every term has its misspellings; only words close to it that
+clean documents use at least as often as toxic ones are exceptions, and others that clean
+documents use weigh what their own counts say. How far clean words crowd around a term is a share
+of its other misspelled hits' weight that counts as a feature of its own. Hits count differently by distance and by context: a window around each hit tells whether it stands in
+quotation marks or beside a word of reporting, and how dense hits are.
 A ridge logistic regression, with prior means that say what the features mean, weighs them.
 
 Scoring is one pass over the documents, without a shuffle; the model is a few hundred terms.
@@ -32,15 +34,16 @@ MOST_TERMS = 2000  # terms of the lexicon
 STEMS = (4, 5, 6)  # lengths of word beginnings that may become terms
 WINDOW = 8  # words on either side of a hit
 KNOWN = 100_000  # words in each of the two generations whose verdict a worker remembers
-CROWDED = 3  # clean words close to a term from which on only its exact spelling counts
+COUNTS = ("toxic", "clean", "toxic_0", "clean_0")
 HELD_OUT = 5  # rows whose crc32(doc_id) is divisible by it are never learned from
 
 EDGE = re.compile(r"^[^\w@$]+|[^\w]+$")
 FOLD = str.maketrans("013457@$", "oieastas")
 QUOTES = "\"'“”„‘’«»"
 REPORTING = frozenset("said says called calls wrote quote quoted quotes unquote".split())
-# intercept, plain exact, quoted exact, plain fuzzy, quoted fuzzy, densest window, share of words
-PRIOR = np.array([-3.0, 5.0, 1.5, 3.5, 0.5, 1.0, 1.0])
+# intercept, plain exact, quoted exact, plain fuzzy, quoted fuzzy, the same two as far as clean
+# words crowd around the terms, densest window, share of words
+PRIOR = np.array([-3.0, 5.0, 1.5, 3.5, 0.5, 1.0, 0.2, 1.0, 1.0])
 RIDGE = 0.5
 
 
@@ -58,11 +61,12 @@ class Lexicon:
     """The intersection of a trie of terms with the Levenshtein automata of their distances.
 
     ``terms``: weights of words; one that ends in * is a stem, which any word that begins with it
-    matches. Words in ``exceptions`` match nothing, terms in ``exact`` only themselves.
+    matches. Words in ``exceptions`` match nothing. ``crowds``: which share of a term's misspelled
+    hits is doubtful, 0 where it is not named. ``own``: weights of misspellings that are known.
     """
 
-    def __init__(self, terms: dict[str, float], exceptions=(), exact=()):
-        self.exceptions = frozenset(exceptions)
+    def __init__(self, terms: dict[str, float], exceptions=(), crowds: dict[str, float] | None = None, own: dict[str, float] | None = None):
+        self.exceptions, self.crowds, self.own = frozenset(exceptions), crowds or {}, own or {}
         self.term: list[str] = [""]
         self.child: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]  # distance allowed to the term that ends here
@@ -70,8 +74,8 @@ class Lexicon:
         self.stem: list[float] = [0.0]  # weight of the stem that ends here
         self.room: list[int] = [0]  # most errors that any term below allows
         for term, weight in terms.items():
-            self._add(term, weight, 0 if term in exact or term.endswith("*") else distance_of(term))
-        self.known = Remembered(lambda token: self.match(cleaned(token)), KNOWN)
+            self._add(term, weight, 0 if term.endswith("*") else distance_of(term))
+        self.known = Remembered(lambda token: self.hit(cleaned(token)), KNOWN)
         self._reset()
 
     def _reset(self) -> None:
@@ -160,21 +164,38 @@ class Lexicon:
                 break
         return self.verdicts[state]
 
+    def hit(self, word: str) -> tuple[bool, float, float, float] | None:
+        """(misspelled, weight, doubtful share of it, how far the hit counts as one) of a match."""
+        found = self.match(word)
+        if not found or not found[0]:
+            return found and (False, found[1], 0.0, 1.0)
+        if word in self.own:
+            weight = min(found[1], self.own[word])
+            return True, weight, 0.0, weight / found[1]
+        doubt = self.crowds.get(found[2], 0.0)
+        return True, found[1], doubt, 1 - doubt
+
     def features(self, text: str | None) -> list[float]:
         tokens = (text or "").lower().split()
         known = self.known
         verdicts = list(map(known.__getitem__, tokens))
         hits = [i for i, verdict in enumerate(verdicts) if verdict]
-        sums = [0.0, 0.0, 0.0, 0.0]
-        densest = first = 0
-        for n, i in enumerate(hits):
-            misspelled, weight, _ = verdicts[i]
-            sums[2 * misspelled + _reported(tokens, i)] += weight
+        sums = [0.0] * 6
+        firm: list[float] = []
+        densest = inside = 0.0
+        first = 0
+        for i in hits:
+            misspelled, weight, doubt, counts = verdicts[i]
+            reported = _reported(tokens, i)
+            sums[2 * misspelled + reported] += weight * (1 - doubt)
+            sums[4 + reported] += weight * doubt
+            firm.append(counts)
+            inside += counts
             while hits[first] < i - 2 * WINDOW:
+                inside -= firm[first]
                 first += 1
-            densest = max(densest, n - first + 1)
-        exact, quoted, fuzzy, fuzzy_quoted = (math.log1p(x / 5) for x in sums)
-        return [1.0, exact, quoted, fuzzy, fuzzy_quoted, math.log1p(max(0, densest - 1)), math.sqrt(len(hits) / max(1, len(tokens)))]
+            densest = max(densest, inside)
+        return [1.0, *(math.log1p(x / 5) for x in sums), math.log1p(max(0.0, densest - 1)), math.sqrt(sum(firm) / max(1, len(tokens)))]
 
 
 def _reported(tokens: list[str], i: int) -> bool:
@@ -207,22 +228,24 @@ def unlike(sample: DataFrame) -> DataFrame:
 
 
 def _vocabulary(rows: DataFrame) -> DataFrame:
-    """(term, toxic, clean): in how many documents of either class each word and stem occurs."""
+    """(term, toxic, clean, toxic_0, clean_0): in how many documents of either class each word and
+    stem occurs, and in how many of half 0."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 128)):
-            toxic, clean = Counter(), Counter()
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts = Counter(), Counter(), Counter(), Counter()
+            for text, label, half in zip(*(column.to_pylist() for column in batch.columns)):
                 words = {w for w in map(cleaned, set(text.lower().split())) if 2 < len(w) <= 40}
                 terms = words | {w[:n] + "*" for w in words for n in STEMS if len(w) > n}
-                (toxic if label else clean).update(terms)
-            terms = list({**toxic, **clean})
+                counts[1 - label].update(terms)
+                if not half:
+                    counts[3 - label].update(terms)
+            terms = list({**counts[0], **counts[1]})
             yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([clean[t] for t in terms], pa.int64())],
-                ["term", "toxic", "clean"])
+                [pa.array(terms, pa.string()), *(pa.array([found[t] for t in terms], pa.int64()) for found in counts)], ["term", *COUNTS])
 
-    found = rows.select("text", "label").mapInArrow(count, "term string, toxic long, clean long")
-    return found.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    found = rows.select("text", "label", "half").mapInArrow(count, "term string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return found.groupBy("term").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
 def surprise(a: float, b: float, total_a: float, total_b: float) -> float:
@@ -274,11 +297,11 @@ def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = RID
 
 
 class Model:
-    def __init__(self, terms: dict[str, float], exceptions: list[str], exact: list[str], beta: np.ndarray):
-        self.terms, self.exceptions, self.exact, self.beta = terms, exceptions, exact, beta
+    def __init__(self, terms: dict[str, float], exceptions: list[str], crowds: dict[str, float], own: dict[str, float], beta: np.ndarray):
+        self.terms, self.exceptions, self.crowds, self.own, self.beta = terms, exceptions, crowds, own, beta
 
     def scorer(self):
-        lexicon = Lexicon(self.terms, self.exceptions, self.exact)
+        lexicon = Lexicon(self.terms, self.exceptions, self.crowds, self.own)
 
         def score(texts: list) -> np.ndarray:
             x = np.array([lexicon.features(t) for t in texts]).reshape(-1, len(self.beta))
@@ -289,40 +312,64 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Learn lexicon, exceptions and weights. Without labels of both classes the model has no
-    terms and scores everything by the prior."""
+    terms and scores everything by the prior.
+
+    The weights are fitted to what each half of the sample shows with the exceptions of the other
+    half: with its own, no word of it that is unknown would come close to a term by chance, as
+    words of other documents do.
+    """
     small_batches(docs.sparkSession)
-    sample = kept(unlike(kept(labelled(docs, labels, "toxic", rows))))
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    if not toxic or not clean:
-        return Model({}, [], [], PRIOR)
+    sample = unlike(kept(labelled(docs, labels, "toxic", rows)))
+    sample = kept(sample.withColumn("half", bucket_of(F.xxhash64("_id", F.lit("half")), 2).cast("int")))
+    sizes = {(r["label"], r["half"]): r["count"] for r in sample.groupBy("label", "half").count().collect()}
+    toxic, clean = ([sizes.get((label, half), 0) for half in (0, 1)] for label in (1, 0))
+    if not sum(toxic) or not sum(clean):
+        return Model({}, [], {}, {}, PRIOR)
     vocabulary = kept(_vocabulary(sample))
-    often = vocabulary.where((F.col("toxic") >= 2) & (F.col("toxic") / toxic > 12 * (F.col("clean") + 0.5) / (clean + 1)))
-    terms = _lexicon([tuple(r) for r in often.collect()], toxic, clean)
+    often = vocabulary.where((F.col("toxic") >= 2) & (F.col("toxic") / sum(toxic) > 12 * (F.col("clean") + 0.5) / (sum(clean) + 1)))
+    found = {r["term"]: (r["toxic"], r["clean"]) for r in often.collect()}
+    terms = _lexicon([(term, a, b) for term, (a, b) in found.items()], sum(toxic), sum(clean))
     lexicon = Lexicon(terms)
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [(w, hit[2]) for w in batch.column(0).to_pylist() if (hit := lexicon.match(w)) and hit[0]]
-            words, of = zip(*near) if near else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(of, pa.string())], ["word", "term"])
+            hits = [lexicon.match(w) for w in batch.column(0).to_pylist()]
+            of = pa.array([hit[2] if hit and hit[0] else None for hit in hits], pa.string())
+            out = pa.RecordBatch.from_arrays([*batch.columns, of], ["word", *COUNTS, "term"])
+            yield out.filter(of.is_valid())
 
     plain = vocabulary.where(~F.endswith("term", F.lit("*")) & (F.col("clean") > 0))  # terms match themselves exactly and stay
-    near = kept(plain.select("term").mapInArrow(close, "word string, term string"))
-    # a term that clean words crowd around says nothing about other spellings of it
-    exact = [r["term"] for r in near.groupBy("term").count().where(F.col("count") > CROWDED).collect()]
-    exceptions = [r["word"] for r in near.where(~F.col("term").isin(exact)).select("word").collect()]  # a few per term left
-
-    known = Lexicon(terms, exceptions, exact)
+    near = plain.select("term", *COUNTS).mapInArrow(
+        close, "word string, " + ", ".join(f"{c} long" for c in COUNTS) + ", term string").collect()  # words of the bounded sample
+
+    def judged(half: int | None) -> tuple[list[str], dict[str, float]]:
+        """Near words of clean rows, of a half or of all: those that have them at least as often
+        as toxic rows, and log odds of the others."""
+        t, c = (sum(n) if half is None else n[half] for n in (toxic, clean))
+        usual, own = [], {}
+        for r in near:
+            x, y = (r[n] if half is None else r[n + "_0"] if half == 0 else r[n] - r[n + "_0"] for n in ("toxic", "clean"))
+            if y and y * t >= x * c:
+                usual.append(r["word"])
+            elif y:
+                own[r["word"]] = max(0.0, math.log((x + 0.5) / (t + 1)) - math.log((y + 0.5) / (c + 1)))
+        return usual, own
+
+    around = Counter()
+    for r in near:
+        around[r["term"]] += r["clean"] / sum(clean)
+    crowds = {term: share / (share + found[term][0] / sum(toxic)) for term, share in around.items()}
+    exceptions, own = judged(None)
+    halves = [Lexicon(terms, others, crowds, weights) for others, weights in (judged(1), judged(0))]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [known.features(t) for t in batch.column(0).to_pylist()]
+            x = [halves[half].features(t) for t, half in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
 
-    fitted = sample.select("text", "label").mapInArrow(features, "x array<double>, label int").collect()  # the bounded sample
+    fitted = sample.select("text", "label", "half").mapInArrow(features, "x array<double>, label int").collect()  # the bounded sample
     x, y = np.array([r["x"] for r in fitted]), np.array([r["label"] for r in fitted], float)
-    return Model(terms, exceptions, exact, logistic(x, y, PRIOR))
+    return Model(terms, exceptions, crowds, own, logistic(x, y, PRIOR))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, model: Model | None = None) -> DataFrame:

@@ -115,6 +115,37 @@ def test_toxicity_held_out(judged, make):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [k for k in range(400) if k % 4]
 
 
+def respelled(word, draw):
+    at = draw.randrange(1, len(word))
+    return word[:at] + draw.choice("qxzvkw") + word[at + 1 :]
+
+
+def crowded(k):
+    """(text, label): toxic texts hold a term, often misspelled; all texts hold words close to the terms."""
+    draw = random.Random(k)
+    toxic = k % 4 == 0
+    words = prose(k, 30 + k % 30).split()
+    words[3:3] = draw.sample(["maron", "mopon", "mordon", "morong", "gorbage", "garbace", "garbige", "gartage"], 3)
+    for term in ("moron", "garbage") * toxic:
+        words.insert(draw.randrange(len(words)), respelled(term, draw) if k >= 4000 or draw.random() < 0.5 else term)
+    if k % 112 == 0 or k == 1:
+        words.append("moroon")
+    return " ".join(words), int(toxic)
+
+
+def test_toxicity_finds_misspelled_terms_that_clean_words_crowd_around(make, spark):
+    rows = [(k, crowded(k)[0], None, None) for k in range(800)]
+    labels = spark.createDataFrame([(k, 1, crowded(k)[1]) for k in range(800)], LABELS)
+    model = toxicity.fit(make(rows), labels)
+    new = [crowded(k) for k in range(4000, 4400)]
+    got = [(y, s >= 0.5) for (_, y), s in zip(new, model.scorer()([t for t, _ in new]).tolist())]
+    hits = [s for y, s in got if y]
+    recall, wrong = sum(hits) / len(hits), sum(s for y, s in got if not y) / sum(not y for y, _ in got)
+    print(f"held-out recall {recall:.3f}, clean texts flagged {wrong:.3f}")
+    assert recall >= 0.9 and wrong <= 0.05
+    assert model.exceptions and "moroon" not in model.exceptions and model.own["moroon"] > 1  # in one clean row, in more toxic ones
+
+
 def test_toxicity_of_awkward_rows_and_without_labels(docs, make, spark):
     none = spark.createDataFrame([], LABELS)
     got = toxicity.toxicity(docs, none).collect()
