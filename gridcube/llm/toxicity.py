@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcube.llm.common import Remembered, bucket_of, kept, slices, small_batches
-from gridcube.llm.minhash import signed
+from gridcube.llm.minhash import band_hashes, shingles, signature
 
 FIT_ROWS = 6000  # labelled rows of each class at most that a model is fitted on
 MOST_TERMS = 2000  # terms of the lexicon
@@ -219,12 +219,29 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, rows: int = FIT_RO
 
 
 def unlike(sample: DataFrame) -> DataFrame:
-    """One row of each group of near copies among the sampled rows, roughly: words of a text that
-    was copied a hundred times would otherwise look as telling as words of a hundred texts."""
-    seen = signed(sample.select(F.col("_id").alias("doc_id"), "text"), 2, 2, 6).select("doc_id", F.explode("bands").alias("hash"))
-    first = seen.groupBy("hash").agg(F.min("doc_id").alias("first"))
-    own = seen.join(first, "hash").groupBy("doc_id").agg(F.min("first").alias("first")).where("first = doc_id")
-    return sample.join(own.select(F.col("doc_id").alias("_id")), "_id")
+    """One row of each group of near copies of one label among the sampled rows: words of a text
+    that was copied a hundred times would otherwise look as telling as words of a hundred texts.
+
+    A row goes if a row of its label with a smaller id shares one of 16 bands of 5 of its MinHashes
+    over two-word shingles and agrees with it in at least 0.8 of all 80.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole)):
+            hashes = [signature(own, 80) if len(own := shingles(text, 2)) else None for text in batch.column(1).to_pylist()]
+            bands = [None if own is None else band_hashes(own, 5) for own in hashes]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(bands, pa.list_(pa.int64())),
+                 pa.array([None if own is None else own.astype(np.int64) for own in hashes], pa.list_(pa.int64()))],
+                ["_id", "label", "bands", "hashes"])
+
+    signed = kept(sample.select("_id", "text", "label").mapInArrow(sign, "_id long, label int, bands array<long>, hashes array<long>"))
+    seen = signed.select("_id", "label", F.explode("bands").alias("band"))
+    first = seen.groupBy("label", "band").agg(F.min("_id").alias("first"))
+    pairs = seen.join(first, ["label", "band"]).where("first < _id").select("_id", "first").distinct()
+    pairs = pairs.join(signed.select("_id", "hashes"), "_id").join(signed.select(F.col("_id").alias("first"), F.col("hashes").alias("other")), "first")
+    same = F.aggregate(F.zip_with("hashes", "other", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    return sample.join(pairs.where(same >= 64).select("_id").distinct(), "_id", "left_anti")
 
 
 def _vocabulary(rows: DataFrame) -> DataFrame:

@@ -146,6 +146,15 @@ def test_toxicity_finds_misspelled_terms_that_clean_words_crowd_around(make, spa
     assert model.exceptions and "moroon" not in model.exceptions and model.own["moroon"] > 1  # in one clean row, in more toxic ones
 
 
+def test_unlike_drops_near_copies_of_one_label_only(spark):
+    base = prose(1, 300).split()
+    rows = [(1, " ".join(base), 0), (2, " ".join(base[:-3]), 0), (3, " ".join(base), 1), (4, " ".join(base[:-2]), 1), (5, "", 0), (6, "", 1)]
+    half = prose(2, 150).split()
+    rows += [(10 + k, " ".join(half + prose(50 + k, 100).split()), k % 2) for k in range(40)]  # alike by half or less
+    left = toxicity.unlike(spark.createDataFrame(rows, "_id long, text string, label int"))
+    assert sorted(r["_id"] for r in left.collect()) == [1, 3, 5, 6, *range(10, 50)]
+
+
 def test_toxicity_of_awkward_rows_and_without_labels(docs, make, spark):
     none = spark.createDataFrame([], LABELS)
     got = toxicity.toxicity(docs, none).collect()
