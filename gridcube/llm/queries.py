@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcube.llm import exact, html_text, language, minhash, mixing, near_vectors, packing, quality, token_files, toxicity
+from gridcube.llm import (
+    exact, html_text, language, minhash, mixing, near_vectors, packing, quality, token_counts, token_files, toxicity, turns, whitening)
 from gridcube.llm.common import table
 
 
@@ -48,6 +49,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -59,6 +72,9 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_token_files": op10_token_files,
+    "op11_token_counts": op11_token_counts,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
@@ -66,4 +82,5 @@ ORACLES = {
     "op3_exact_dedup": exact.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op9_minhash_near_dedup": minhash.ORACLE,
+    "op12_turn_repair": turns.ORACLE,
 }
