@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 from bisect import bisect_right
 from collections.abc import Iterable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,17 +22,14 @@ from pyspark.sql import functions as F
 from gridcube.config import GridConfig
 from gridcube.fs import SharedFs
 from gridcube.functions.grid import decoded
+from gridcube.sources.footers import footers, listed, reachable
 
 SCHEMA = "local_t INT, days BIGINT, i INT, j INT, lat DOUBLE, lon DOUBLE, value FLOAT"
 ATTRS_FILE = "_attrs.json"
 
 
-def joined(scans: list[DataFrame]) -> DataFrame:
-    """The rows of all scans. Joined in halves, so that analysing hundreds stays cheap."""
-    if len(scans) == 1:
-        return scans[0]
-    middle = len(scans) // 2
-    return joined(scans[:middle]).unionByName(joined(scans[middle:]))
+FEW_FILES = 32  # so many are named to a scan one by one
+BROADCAST_FILES = 100_000  # at most so many data files are sent to every task with their first steps
 
 
 class RawVariable:
@@ -44,32 +41,51 @@ class RawVariable:
         self._folder = f"{config.raw_dir}/{variable}"
         self._options = config.settings.get("raw_options") or {}
         self.files = config.files(self._fs, variable)
+        self._netcdf = self.files[0].endswith(".nc")
 
     def _scan(self, files: list[str], header: bool = False) -> DataFrame:
-        """Rows of some files with their file's name. ``header``: only steps and days are wanted.
-        Parquet then gives the rows of the first cell alone, whose pages the sort order sets apart;
-        the netCDF source reads the time variable only."""
-        if files[0].endswith(".nc"):
+        """Rows of any number of files, one scan, with what tells their file: its name, or where a Parquet data
+        file lies. ``header``: only steps and days are wanted. Parquet then gives the rows of the first cell
+        alone, whose pages the sort order sets apart; the netCDF source reads the time variable only."""
+        if self._netcdf:
             from gridcube.sources.netcdf import read_netcdf
 
             return read_netcdf(self.spark, files, self.name, header=str(header).lower(), **self._options)
-        # one scan per file with the name as a constant: no text work per row
-        scans = [
-            self.spark.read.schema(SCHEMA).parquet(path).withColumn("file", F.lit(path.rsplit("/", 1)[1]))
-            for path in files
-        ]
-        rows = joined(scans)
+        # many files are listed by their folder and not one by one; scans open those whose paths are asked for
+        reader = self.spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        rows = reader.parquet(*files) if len(files) <= FEW_FILES else reader.parquet(self._folder)
+        # a data file's path is one constant for all its rows; nothing is cut out of it row by row
+        rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
         return rows.where("i = 0 and j = 0") if header else rows
 
+    @cached_property
+    def _lengths(self) -> list[tuple[str, str, int]]:
+        """(what ``_scan`` calls the file, its name here, steps it reaches to), a row per data file. Of Parquet
+        only footers are read, or, where these say nothing, the one column."""
+        reach = (F.max("local_t") + 1).alias("n")
+        if self._netcdf:
+            return [(r.file, r.file, r.n) for r in self._scan(self.files, header=True).groupBy("file").agg(reach).collect()]
+        spelled = lambda path: path.rsplit(f"/{self.name}/", 1)[1].split("/", 1)[0]
+        files = listed(self.spark, self.files if len(self.files) <= FEW_FILES else [self._folder])
+        if reachable(self.files[0]):
+            ends = footers(files, ["local_t"]).select("file_path", "path", "n_rows", (F.col("extremes")["local_t"]["high"] + 1).cast("int").alias("n"), "problem").collect()
+        else:
+            ends = files.select("file_path", "path", F.lit(None).cast("long").alias("n_rows"), F.lit(None).cast("int").alias("n"), F.lit(None).alias("problem")).collect()
+        silent = [r.path for r in ends if r.n is None and r.n_rows != 0]
+        told = {}
+        if silent:
+            told = {r.file: r.n for r in self._scan(silent).groupBy("file").agg(reach).collect()}
+        return [(r.file_path, spelled(r.path), r.n or told.get(r.file_path, 0)) for r in ends]
+
     @cached_property
     def index(self) -> list[tuple[str, int, int]]:
         """(file, first step, number of steps), in time order: one row per file."""
-        lengths = dict(
-            self._scan(self.files, header=True).groupBy("file").agg((F.max("local_t") + 1).alias("n")).collect()
-        )
+        lengths: dict[str, int] = {}
+        for _, name, n in self._lengths:
+            lengths[name] = max(n, lengths.get(name, 0))
         table, first = [], 0
         for path in self.files:
-            n = lengths[path.rsplit("/", 1)[1]]
+            n = lengths.get(path.rsplit("/", 1)[1], 0)
             table.append((path, first, n))
             first += n
         return table
@@ -80,20 +96,36 @@ class RawVariable:
 
     def locate(self, t: int) -> tuple[str, int]:
         """The file a step lies in, and its place there."""
-        path, first, _ = self.index[bisect_right([f for _, f, _ in self.index], t) - 1]
+        path, first, _ = self.index[bisect_right(self._firsts, t) - 1]
         return path, t - first
 
+    @cached_property
+    def _firsts(self) -> list[int]:
+        return [first for _, first, _ in self.index]
+
+    def n_files(self, first: int, last: int) -> int:
+        """How many files hold steps of a half-open range."""
+        return sum(f < last and first < f + n for _, f, n in self.index)
+
     def seams(self) -> list[int]:
         return [first for _, first, _ in self.index[1:]]
 
     def _placed(self, files: list[str], test: Column | None = None, header: bool = False) -> DataFrame:
-        """Rows of some files with their global step ``t``."""
+        """Rows of some files with their global step ``t``: one scan, joined to the files' first steps."""
+        rows = self._scan(files, header)
+        if test is not None:
+            rows = rows.where(test)
         first = {path: f for path, f, _ in self.index}
-        keep = lambda rows: rows if test is None else rows.where(test)
-        scans = [
-            keep(self._scan([path], header)).withColumn("t", F.col("local_t") + F.lit(first[path])) for path in files
-        ]
-        return joined(scans)
+        if len(files) == 1:
+            return rows.withColumn("t", F.col("local_t") + F.lit(first[files[0]]))
+        by_name = {path.rsplit("/", 1)[1]: first[path] for path in files}
+        starts = [(key, by_name[name]) for key, name, _ in self._lengths if name in by_name]
+        if len(files) > FEW_FILES and len(starts) < len(self._lengths):
+            rows = rows.where(F.col("file").between(min(key for key, _ in starts), max(key for key, _ in starts)))
+        table = self.spark.createDataFrame(starts, "file string, first int")
+        if len(starts) <= BROADCAST_FILES:
+            table = F.broadcast(table)
+        return rows.join(table, "file").withColumn("t", F.col("local_t") + F.col("first"))
 
     def axis(self) -> DataFrame:
         """(idx, days): the time axis, without touching the data column."""
@@ -127,26 +159,26 @@ class RawVariable:
     ) -> DataFrame:
         """(t, i, j, value) with the sentinel intact, for a step range or single steps.
 
-        Files outside the steps are not opened, and the steps wanted from a file are
-        pushed down into its scan. Files wanted whole share one scan.
+        Files outside the steps are not opened, and the steps wanted from a file are pushed down into its
+        scan: files wanted whole share one scan, the two that a range cuts have their own. Single steps
+        come from one scan of their files, which takes the places that any of them has in its file.
         """
-        whole, parts = [], []
-        for path, first, n in self.index:
-            if days is not None:
-                local = sorted(t - first for t in set(days) if first <= t < first + n)
-                if local:
-                    parts.append(([path], F.col("local_t").isin(local)))
-                continue
-            a, b = (0, n) if steps is None else (max(0, steps[0] - first), min(n, steps[1] - first))
-            if a >= b:
-                continue
-            if (a, b) == (0, n):
-                whole.append(path)
-            else:
-                parts.append(([path], (F.col("local_t") >= a) & (F.col("local_t") < b)))
-        if whole or not parts:
-            parts.append((whole or self.files[:1], F.lit(bool(whole))))
-        rows = joined([self._placed(files, test) for files, test in parts])
+        if days is not None:
+            wanted = sorted({t for t in days if 0 <= t < self.n_steps})
+            places = [self.locate(t) for t in wanted]
+            files = list(dict.fromkeys(path for path, _ in places)) or self.files[:1]
+            rows = self._placed(files, F.col("local_t").isin(sorted({k for _, k in places}))).where(F.col("t").isin(wanted))
+        else:
+            whole, parts = [], []
+            for path, first, n in self.index:
+                a, b = (0, n) if steps is None else (max(0, steps[0] - first), min(n, steps[1] - first))
+                if (a, b) == (0, n):
+                    whole.append(path)
+                elif a < b:
+                    parts.append(([path], (F.col("local_t") >= a) & (F.col("local_t") < b)))
+            if whole or not parts:
+                parts.insert(0, (whole or self.files[:1], None if whole else F.lit(False)))
+            rows = reduce(DataFrame.unionByName, [self._placed(files, test).select("t", "i", "j", "value") for files, test in parts])
         for axis, span in (("i", i), ("j", j)):
             if span is not None:
                 rows = rows.where((F.col(axis) >= span[0]) & (F.col(axis) < span[1]))

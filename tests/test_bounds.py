@@ -1,16 +1,19 @@
 """Nothing is cut to a fixed length: days, files, rounds, and no machine-local folder on a cluster."""
 
+import time
 from types import SimpleNamespace
 
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from gridcube.catalog.all import REGISTRY
 from gridcube.config import GridConfig
 from gridcube.operators import lineage
 from gridcube.session import shared_dir
+from gridcube.sources import footers
 from gridcube.sources.raw import RawVariable
 from tests.conftest import settings
 
@@ -37,20 +40,57 @@ def test_records_of_any_length(spark, two_months, name):
     assert mine == sorted((tuple(r[p] for p in places) for r in other.fetchall()), key=repr) and mine
 
 
+def grid_file(folder, k, values, steps=1, stats=True):
+    """A raw file of ``steps`` days over 2 x 2 cells, written by another tool than Spark."""
+    folder.mkdir(parents=True, exist_ok=True)
+    cells = [(t, i, j) for t in range(steps) for i in (0, 1) for j in (0, 1)]
+    one = {"local_t": [t for t, _, _ in cells], "days": [29219 + k + t for t, _, _ in cells], "i": [i for _, i, _ in cells], "j": [j for _, _, j in cells],
+           "lat": [1.0 - i for _, i, _ in cells], "lon": [float(j) for _, _, j in cells], "value": values * steps}
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float32()]
+    pq.write_table(pa.table([pa.array(v, kind) for v, kind in zip(one.values(), kinds)], names=list(one)), folder / f"E_{k:05d}.parquet", write_statistics=stats)
+
+
 def test_many_files_below_a_folder_of_the_same_name(spark, tmp_path):
     config = GridConfig(settings(tmp_path / "E" / "a b,c" / "E", "spatial")).of("E")
-    folder = tmp_path / "E" / "a b,c" / "E" / "v_1_2_b/raw/daily/E"
-    folder.mkdir(parents=True)
     n = 201
     for k in range(n):
-        one = {"local_t": [0] * 4, "days": [29219 + k] * 4, "i": [0, 0, 1, 1], "j": [0, 1, 0, 1], "lat": [1.0, 1.0, 0.0, 0.0], "lon": [0.0, 1.0, 0.0, 1.0],
-               "value": [float(k), -999.0, float(k), float(k)]}
-        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float32()]
-        pq.write_table(pa.table([pa.array(v, kind) for v, kind in zip(one.values(), kinds)], names=list(one)), folder / f"E_{k:04d}.parquet")
+        grid_file(tmp_path / "E" / "a b,c" / "E" / "v_1_2_b/raw/daily/E", k, [float(k), -999.0, float(k), float(k)])
     raw = RawVariable(spark, config, "E")
     assert [(first, steps) for _, first, steps in raw.index] == [(k, 1) for k in range(n)]
     assert raw.valid_cells().where("t = value").count() == 3 * n
-    assert raw.cells(days=[200]).count() == 4 and raw.locate(200)[0].endswith("E_0200.parquet")
+    assert raw.cells(days=[200]).count() == 4 and raw.locate(200)[0].endswith("E_00200.parquet")
+    assert sorted(r.t for r in raw.cells(days=[3, 77, 200, 201, -1]).where("i = 0 and j = 0").collect()) == [3, 77, 200]
+    assert {r.t for r in raw.valid_cells(steps=(50, 120)).collect()} == set(range(50, 120))
+
+
+def test_any_number_of_files_is_one_scan(spark, tmp_path):
+    config = GridConfig(settings(tmp_path, "spatial")).of("E")
+    for k in range(5_000):
+        grid_file(tmp_path / "v_1_2_b/raw/daily/E", k, [float(k), -999.0, float(k), float(k)])
+    raw = RawVariable(spark, config, "E")
+    assert raw.n_steps == 5_000
+    started = time.perf_counter()
+    plan = raw.cells()._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - started < 4  # 2 s on an idle machine
+    assert plan.count("FileScan parquet") == 1 and "BroadcastHashJoin" in plan
+    some = raw.valid_cells(steps=(10, 3_000)).groupBy().agg(F.sum("t").alias("t"), F.count_distinct("t").alias("n"))
+    assert tuple(some.first()) == (3 * sum(range(10, 3_000)), 2_990)
+
+
+def test_lengths_come_from_footers_or_else_from_the_column(spark, tmp_path):
+    config = GridConfig(settings(tmp_path, "spatial")).of("E")
+    folder = tmp_path / "v_1_2_b/raw/daily/E"
+    grid_file(folder, 0, [1.0, 2.0, 3.0, 4.0], steps=3)
+    grid_file(folder, 3, [1.0, 2.0, 3.0, 4.0], steps=2, stats=False)
+    grid_file(folder, 5, [1.0, 2.0, 3.0, 4.0], steps=4)
+    assert [(first, n) for _, first, n in RawVariable(spark, config, "E").index] == [(0, 3), (3, 2), (5, 4)]
+    files = footers.footers(footers.listed(spark, [str(folder)]), ["local_t", "i", "none"])
+    told = {r.path.rsplit("/", 1)[1]: (r.n_rows, {k: (v.low, v.high) for k, v in r.extremes.items()}, r.problem) for r in files.collect()}
+    assert told["E_00000.parquet"] == (12, {"local_t": (0, 2), "i": (0, 1)}, None) and told["E_00003.parquet"] == (8, {}, None)
+    (folder / "E_00005.parquet").write_bytes(b"PAR1")
+    broken = files.where("problem is not null").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in broken] == ["E_00005.parquet"] and broken[0].n_rows is None
+    assert not footers.reachable("viewfs://cluster/x") and footers.reachable(str(folder)) and footers.reachable(f"file:{folder}")
 
 
 def test_a_closed_chain_is_an_error(spark):
