@@ -85,6 +85,10 @@ class SharedFs:
         self.delete(staged)
         return False
 
+    def make(self, path: str) -> None:
+        """A folder, if there is none yet."""
+        self._fs.mkdirs(self._path(path))
+
     def move(self, path: str, target: str) -> None:
         self._fs.mkdirs(self._path(target.rsplit("/", 1)[0]))
         if not self._fs.rename(self._path(path), self._path(target)):

@@ -59,4 +59,5 @@ VERIFY_DEFAULTS = {
     "trace_absent": 24,
     "mask_days": 12,
 }
+DIGESTS = ("raw", "store", "off")  # ours: what every chunk's digest is compared with
 PHASES = ("structure", "index", "samples", "sweep", "identities", "ranges", "metadata")

@@ -48,7 +48,9 @@ class Source:
         """What every commit of the store carries besides data."""
         published, upstream = self.raw.attrs
         variable_attrs = self.config.key.variable_attrs(published, self.config.variable)
-        ends = self.raw.axis().agg(*_time_coverage()).first().asDict()
+        ends = self.raw.axis().agg(*_time_coverage(), F.count(F.lit(1)).alias("_n")).first().asDict()
+        if (n := ends.pop("_n")) != self.sizes["time"]:
+            raise ValueError(f"the first cell of the raw files of {self.raw.name!r} has {n} days, their steps are {self.sizes['time']}: rows or days are missing")
         shape = {f"geospatial_{k}": v for k, v in self.raw.extent.items() if not k.startswith("n_")}
         coverage = {**ends, **shape}
         return {
@@ -117,7 +119,8 @@ def build_append(store: Store, source: Source) -> int:
     """Batches of time steps, each its own commit. Resumes after the last one.
 
     Raw rows arrive in (t, i, j) order, which is also the order of this layout, so a
-    batch is a scan and a write, without a shuffle or a sort.
+    batch is a scan and a write, without a shuffle. Only where it takes more than one file, which a task
+    may read in any order, tasks sort what they have.
     """
     n_time = source.sizes["time"]
     batch = source.config.batch_steps(source.chunks)
@@ -140,6 +143,8 @@ def build_append(store: Store, source: Source) -> int:
         work = store.begin()
         work.state = {**state, "sizes": {**source.sizes, "time": last}, "axis_written": n_time}
         cells = source.raw.valid_cells(steps=(first, last))
+        if source.raw.n_files(first, last) > 1:
+            cells = cells.sortWithinPartitions("t", "i", "j")
         work.write_cells(cells, {"t": (first, last), "i": (0, source.sizes["lat"]), "j": (0, source.sizes["lon"])})
         # the axes are written ahead, once; the recorded size says how far they count
         known = work.parent_state.get("axis_written", 0)
@@ -160,8 +165,10 @@ def committed_blocks(store: Store) -> set[tuple[int, int, int, int]]:
 def build_region(store: Store, source: Source) -> int:
     """A skeleton of axes and attributes, then one commit per block of whole series.
 
-    The rows of a block are shuffled once, by tile, and rebalanced: small partitions
-    are joined and large ones split to one file size, however the land lies.
+    Raw is read once for ``blocks_per_pass`` blocks, all that are missing unless set. Their rows are
+    shuffled once, by tile, and rebalanced: small partitions are joined and large ones split to one file size,
+    however the land lies. Blocks of a pass are written together and committed one by one, so that a run
+    that ends in between resumes behind the last commit.
     """
     wanted = source.config.blocks(source.chunks, source.sizes)
     if store.state().get("variables"):
@@ -188,17 +195,36 @@ def build_region(store: Store, source: Source) -> int:
     remaining = [b for b in wanted if b not in done]
     if not remaining:
         LOG.info("the store is complete, nothing to write")
-    for i0, i1, j0, j1 in remaining:
-        work = store.begin()
-        cells = source.raw.valid_cells(i=(i0, i1), j=(j0, j1)).select(
-            "*", block(F.col("i"), source.chunks["lat"]).alias("ci"), block(F.col("j"), source.chunks["lon"]).alias("cj")
-        )
-        cells = cells.hint("rebalance", "ci", "cj").sortWithinPartitions("ci", "cj", "i", "j", "t")
-        work.write_cells(cells, {"t": (0, source.sizes["time"]), "i": (i0, i1), "j": (j0, j1)})
-        work.commit(BLOCK_MESSAGE.format(variable=source.config.canonical, i0=i0, i1=i1, j0=j0, j1=j1))
+    at_once = source.config.settings.get("blocks_per_pass") or len(remaining)
+    for first in range(0, len(remaining), at_once or 1):
+        _fill(store, source, wanted, remaining[first : first + at_once])
     return len(remaining)
 
 
+def blocks_of(raw: DataFrame, grid: list[tuple[int, int, int, int]], blocks: list[tuple[int, int, int, int]]) -> DataFrame:
+    """Cells of some of the grid's blocks, ``part`` being the place of a cell's block among them."""
+    high, wide = (max(b[k + 1] - b[k] for b in grid) for k in (0, 2))
+    columns = max(b[2] for b in grid) // wide + 1
+    part_of = [-1] * (columns * (max(b[0] for b in grid) // high + 1))
+    for part, (i0, _, j0, _) in enumerate(blocks):
+        part_of[i0 // high * columns + j0 // wide] = part
+    place = block(F.col("i"), high) * columns + block(F.col("j"), wide)
+    return raw.withColumn("part", F.get(F.array(*map(F.lit, part_of)), place.cast("int"))).where("part >= 0")
+
+
+def _fill(store: Store, source: Source, grid: list, blocks: list) -> None:
+    """Some blocks of a region store: one scan of raw, one shuffle, one write, a commit each."""
+    ends = [(min(b[k] for b in blocks), max(b[k + 1] for b in blocks)) for k in (0, 2)]
+    cells = blocks_of(source.raw.valid_cells(i=ends[0], j=ends[1]), grid, blocks).select(
+        "*", block(F.col("i"), source.chunks["lat"]).alias("ci"), block(F.col("j"), source.chunks["lon"]).alias("cj")
+    )
+    cells = cells.hint("rebalance", "part", "ci", "cj").sortWithinPartitions("part", "ci", "cj", "i", "j", "t")
+    for snapshot, (i0, i1, j0, j1) in zip(store.write_parts(cells, len(blocks), source.chunks), blocks):
+        work = store.begin(snapshot)
+        work.take_over({"t": (0, source.sizes["time"]), "i": (i0, i1), "j": (j0, j1)})
+        work.commit(BLOCK_MESSAGE.format(variable=source.config.canonical, i0=i0, i1=i1, j0=j0, j1=j1))
+
+
 def check_unpublished(store: Store, force: bool) -> None:
     """A tagged store is published. Rebuilding it needs to be asked for."""
     tags = sorted(store.tags())

@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from gridcube.config import GridConfig
-from gridcube.functions.fixed import PHASES, VERIFY_DEFAULTS
+from gridcube.functions.fixed import DIGESTS, PHASES, VERIFY_DEFAULTS
 from gridcube.plans import build, finalize, stage, verify
 from gridcube.session import tune
 
@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--compare-with", help="configuration of the other layout, for the metadata phase")
     for option, default in VERIFY_DEFAULTS.items():
         sub.add_argument(f"--{option.replace('_', '-')}", type=int, default=default)
+    sub.add_argument("--digests", choices=DIGESTS, default=DIGESTS[0], help="what the cells of all chunks are compared with")
     sub = configured("finalize", "status, attributes, tag or garbage collection of a store")
     action = sub.add_mutually_exclusive_group(required=True)
     action.add_argument("--status", action="store_true")
@@ -72,7 +73,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return 0
     if args.command == "verify":
         other = GridConfig.load(args.compare_with) if args.compare_with else None
-        options = {k: getattr(args, k) for k in VERIFY_DEFAULTS}
+        options = {k: getattr(args, k) for k in (*VERIFY_DEFAULTS, "digests")}
         phases = [p.strip() for p in args.phases.split(",") if p.strip()]
         audits = verify.verify_family(spark, config, args.variable, phases, other, **options)
         for audit in audits:
