@@ -95,14 +95,16 @@ def absent_days(spark, folder):
 
 
 @query("J9 A9", f"""WITH {EVENTS_SQL}, w AS (SELECT DISTINCT variable, i // 6 AS ci, j AS cj FROM cells WHERE NOT (variable = 'click' AND i // 6 = 2 AND j % 2 = 0)),
-    e AS (SELECT DISTINCT variable, i // 6 AS ci, j AS cj FROM cells WHERE t IN (0, 15, 29))
+    g AS (SELECT min(t) AS a, max(t) AS b FROM cells),
+    e AS (SELECT DISTINCT variable, i // 6 AS ci, j AS cj FROM cells, g WHERE t IN (a, (a + b) // 2, b))
     SELECT variable, ci, cj FROM e ANTI JOIN w USING (variable, ci, cj)""")
 def lost_tiles(spark, folder):
-    """Tiles that held data on a sampled day and were not written."""
+    """Tiles that held data on the first, the middle or the last day and were not written."""
     tile = [F.col("variable"), grid.block(F.col("i"), 6).alias("ci"), F.col("j").alias("cj")]
     cells = event_cells(spark, folder)
     written = cells.where("not (variable = 'click' and i div 6 = 2 and j % 2 = 0)").select(*tile).distinct()
-    ever = cells.where(F.col("t").isin(0, 15, 29)).select(*tile).distinct()
+    ends = cells.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    ever = cells.where(F.col("t").isin(ends.a, (ends.a + ends.b) // 2, ends.b)).select(*tile).distinct()
     return merge.missing_from(ever, written, ["variable", "ci", "cj"])
 
 

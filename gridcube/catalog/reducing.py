@@ -165,10 +165,13 @@ def tile_valid_counts(spark, folder):
 
 
 @query("A9 S18", f"""WITH {TILE_SQL} SELECT variable, ci, cj, bool_or(n_valid > 0) AS ever_valid
-    FROM tiles WHERE t IN (0, 10, 20, 29) GROUP BY 1, 2, 3""")
+    FROM tiles, (SELECT min(t) AS a, max(t) - min(t) AS n FROM tiles) g WHERE t IN (a, a + n // 3, a + 2 * n // 3, a + n) GROUP BY 1, 2, 3""")
 def tile_any_valid(spark, folder):
-    """Tiles that hold data on any of the sampled days."""
-    days = raw_event_cells(spark, folder).where(F.col("t").isin(0, 10, 20, 29))
+    """Tiles that hold data on any of four days, spread evenly from the first to the last."""
+    cells = raw_event_cells(spark, folder)
+    ends = event_cells(spark, folder).agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    n = ends.b - ends.a
+    days = cells.where(F.col("t").isin(*(ends.a + k * n // 3 for k in range(4))))
     counts = reduce.tile_valid_counts(days, ["variable", "t"], 6, 2)
     return counts.groupBy("variable", "ci", "cj").agg(F.bool_or(F.col("n_valid") > 0).alias("ever_valid"))
 

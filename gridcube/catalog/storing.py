@@ -18,9 +18,10 @@ from gridcube.cube import Cube, inventory
 from gridcube.fs import SharedFs
 from gridcube.functions.grid import day_number
 from gridcube.functions.names import NameKey
+from gridcube.operators import chunks
 from gridcube.plans import finalize
 from gridcube.plans.build import build_family
-from gridcube.plans.store import Store
+from gridcube.plans.store import AXES, Store
 from gridcube.plans.verify import DEFAULT_PHASES, Audit
 from gridcube.session import cut_lineage, fresh_dir, side_by_side
 from gridcube.sources.raw import ATTRS_FILE, SCHEMA, RawVariable
@@ -194,12 +195,78 @@ def tagged_read(spark, folder):
 def store_manifest(spark, folder):
     (config,) = built(spark, folder, "temporal")
     tables = [
-        Store.open(spark, config.of(n).store_path).manifest().withColumn("variable", F.lit(KEY.canonical(n)))
+        Store.open(spark, config.of(n).store_path).manifest().select(F.lit(KEY.canonical(n)).alias("variable"), "ct", "ci", "cj", "n_valid", "nbytes")
         for n in KEY.variables
     ]
     return fold(DataFrame.unionByName, tables)
 
 
+CHUNKED_SQL = STORED_SQL + """, chunked AS (
+      SELECT variable, 'spatial' AS layout, t, i, j, t AS ct, CAST(0 AS BIGINT) AS ci, CAST(0 AS BIGINT) AS cj FROM stored
+      UNION ALL SELECT variable, 'temporal', t, i, j, CAST(0 AS BIGINT), i // 6, j FROM stored)"""
+
+
+def _layouts(spark, folder):
+    """(variable, layout, store, raw, chunks) of every store in both layouts."""
+    for config in built(spark, folder, "spatial", "temporal"):
+        for name in KEY.variables:
+            store = Store.open(spark, config.of(name).store_path)
+            yield KEY.canonical(name), config.settings["output_conventions"]["suffix"], store, RawVariable(spark, config, name), store.state()["chunks"]
+
+
+@query("S17 V4 V5 J2", f"""WITH {CHUNKED_SQL}
+    SELECT variable, layout, ct, ci, cj, count(*) AS n_valid, count(*) AS n_raw, true AS as_raw FROM chunked GROUP BY ALL""")
+def chunk_digests(spark, folder):
+    """Every chunk of every store against raw, by the digests in the chunk tables: no cell of a store is read."""
+    tables = []
+    for variable, layout, store, raw, sizes in _layouts(spark, folder):
+        theirs = chunks.manifest(raw.valid_cells(), [], sizes, digest=True).select(*chunks.CHUNK, *(F.col(c).alias(f"raw_{c}") for c in ("n_valid", *chunks.DIGEST)))
+        same = fold(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"raw_{c}")) for c in chunks.DIGEST))
+        zero = F.lit(0).cast("long")
+        tables.append(store.manifest().join(theirs, list(chunks.CHUNK), "full_outer").select(
+            F.lit(variable).alias("variable"), F.lit(layout).alias("layout"), *chunks.CHUNK,
+            F.coalesce("n_valid", zero).alias("n_valid"), F.coalesce("raw_n_valid", zero).alias("n_raw"), same.alias("as_raw")))
+    return fold(DataFrame.unionByName, tables)
+
+
+@query("S17 V5 J2 J10", f"""WITH {CHUNKED_SQL}, ends AS (SELECT variable, layout, min((t, i, j)) AS first, max((t, i, j)) AS last FROM chunked GROUP BY 1, 2)
+    SELECT variable, layout, ct, ci, cj, count(*) - count(*) FILTER (WHERE (t, i, j) = first) AS n_left, count(*) AS n_right
+    FROM chunked JOIN ends USING (variable, layout) GROUP BY 1, 2, 3, 4, 5
+    HAVING bool_or((t, i, j) = first OR (t, i, j) = last)""")
+def changed_chunks(spark, folder):
+    """Each store's first cell taken away and its last one changed in the last bit of its value: the chunks whose
+    cells no longer are those recorded, found without a cell of the record."""
+    tables = []
+    for variable, layout, store, _, sizes in _layouts(spark, folder):
+        place = F.struct("t", "i", "j")
+        ends = store.cells().agg(F.min(place).alias("first"), F.max(place).alias("last")).first()
+        at = lambda end: fold(lambda a, b: a & b, (F.col(x) == end[x] for x in ("t", "i", "j")))
+        # multiplied by a hair more than one, a float becomes the next one
+        nudged = F.when(at(ends.last), (F.col("value").cast("double") * (1 + 2.0**-23)).cast("float")).otherwise(F.col("value"))
+        cells = store.cells().where(~at(ends.first)).withColumn("value", nudged)
+        found = chunks.unlike(chunks.manifest(cells, [], sizes, digest=True), store.manifest())
+        tables.append(found.select(F.lit(variable).alias("variable"), F.lit(layout).alias("layout"), *chunks.CHUNK, "n_left", "n_right"))
+    return fold(DataFrame.unionByName, tables)
+
+
+@query("S6 S9 S10 V5 K1", f"""WITH {STORED_SQL}
+    SELECT variable, t // 10 AS batch, count(*) AS n_rows, min(t) AS t_low, max(t) AS t_high, min(i) AS i_low, max(i) AS i_high, min(j) AS j_low, max(j) AS j_high
+    FROM stored GROUP BY 1, 2""")
+def commit_footers(spark, folder):
+    """What each commit's files say of themselves in their footers: rows and extremes, no cell read."""
+    (config,) = built(spark, folder, "spatial")
+    tables = []
+    for name in KEY.variables:
+        store = Store.open(spark, config.of(name).store_path)
+        first = spark.createDataFrame([(c.id, c.box["t"][0]) for c in store.ancestry() if c.box], "snapshot string, first int")  # a row per commit
+        ends = [F.col("extremes")[x][end].alias(f"{x}_{end}") for x in AXES for end in ("low", "high")]
+        files = store.files(store.data_folders()).where("n_rows > 0").select("snapshot", "n_rows", *ends)
+        tables.append(files.join(first, "snapshot").groupBy(F.floor(F.col("first") / 10).alias("batch")).agg(
+            F.sum("n_rows").alias("n_rows"), *(F.min(f"{x}_low").alias(f"{x}_low") for x in AXES), *(F.max(f"{x}_high").alias(f"{x}_high") for x in AXES),
+        ).withColumn("variable", F.lit(KEY.canonical(name))))
+    return fold(DataFrame.unionByName, tables)
+
+
 @query("R1 R2 R3 X15", f"""WITH {SPAN_SQL}, v AS (SELECT DISTINCT variable FROM cells),
       k AS (SELECT n_days, n_batches, unnest(range(n_batches)) AS k FROM span)
     SELECT variable, n_batches AS depth, 'repository initialized' AS message FROM v, span
@@ -284,68 +351,107 @@ def verified_stores(spark, folder):
     )
 
 
-FAULTS = {  # what is planted, in whose store, and the one phase that has to see it
-    "other attribute": ("view", "metadata"), "unknown unit": ("signup", "ranges"), "changed values": ("click", "samples"),
-    "open identity": ("view", "identities"), "lost chunk": ("error", "sweep"), "moved axis": ("purchase", "index"),
+ALL_PHASES = (*DEFAULT_PHASES, "metadata")
+FAULTS = {  # what is planted: in whose store, of which layout, the phases that are run and those that have to see it
+    "other attribute": ("view", "spatial", ALL_PHASES, ("metadata",)),
+    "unknown unit": ("signup", "spatial", DEFAULT_PHASES, ("ranges",)),  # told in both layouts, so only one is looked at
+    "other calendar": ("purchase", "spatial", ALL_PHASES, ("structure",)),
+    "history in one commit": ("error", "spatial", ALL_PHASES, ("structure",)),
+    "changed values": ("click", "spatial", ALL_PHASES, ("samples", "sweep", "metadata")),
+    "open identity": ("view", "spatial", ALL_PHASES, ("identities",)),
+    "lost chunk": ("error", "spatial", ALL_PHASES, ("sweep", "metadata")),
+    "moved axis": ("purchase", "spatial", ALL_PHASES, ("index",)),
+    "lost tile": ("view", "temporal", ("structure", "index", "sweep", "metadata"), ("sweep", "metadata")),
+    "changed value": ("signup", "temporal", ("structure", "index", "sweep", "metadata"), ("sweep", "metadata")),
 }
-_FAULT_ROWS = ", ".join(f"('{fault}', '{name}', '{phase}')" for fault, (name, phase) in FAULTS.items())
+_FAULT_ROWS = ", ".join(f"('{fault}', '{name}', '{' '.join(run)}', '{' '.join(seen)}')" for fault, (name, _, run, seen) in FAULTS.items())
 
 
-@query("V1 V2 V3 V4 V5 V6 V7 V8 V9 J15 A12", f"""WITH {STORED_SQL}, f(fault, name, seen_by) AS (VALUES {_FAULT_ROWS}),
-      p(phase) AS (VALUES ('structure'), ('index'), ('samples'), ('sweep'), ('identities'), ('ranges'), ('metadata')),
+@query("V1 V2 V3 V4 V5 V6 V7 V8 V9 J15 A12", f"""WITH {STORED_SQL}, f(fault, name, run, seen) AS (VALUES {_FAULT_ROWS}),
+      p AS (SELECT fault, name, unnest(string_split(run, ' ')) AS phase, string_split(seen, ' ') AS seen FROM f),
       n AS (SELECT variable, count(*) AS n_cells FROM stored GROUP BY 1)
-    SELECT fault, phase, phase = seen_by AS failed, n_cells FROM f JOIN n ON n.variable = CASE WHEN name = 'purchase' THEN 'purchases' ELSE name || 's' END, p""")
+    SELECT fault, phase, list_contains(seen, phase) AS failed, n_cells FROM p JOIN n ON n.variable = CASE WHEN name = 'purchase' THEN 'purchases' ELSE name || 's' END""")
 def damaged_stores(spark, folder):
-    """One known fault per store, all phases, and which of them fail."""
-    (other,) = built(spark, folder, "temporal")
+    """One known fault per store, in both layouts, and which of the phases fail."""
     root = fresh_dir(spark, "events-damaged")
     _write_raw(spark, folder, root)
-    config = config_of(root, root, "spatial")
-    config = GridConfig({**config.settings, "identities": {"view": ["click"]}}, KEY)
-    build_family(spark, config)
-    stores = {name: Store.open(spark, config.of(name).store_path) for name in KEY.variables}
-
-    def amended(name, change=lambda state: None, cells=None):
-        work, sizes = stores[name].begin(), stores[name].state()["sizes"]
+    configs = {}
+    for layout in ("spatial", "temporal"):
+        made = config_of(root, root, layout)
+        configs[layout] = GridConfig({**made.settings, "identities": {"view": ["click"]}}, KEY)
+        build_family(spark, configs[layout])
+    whole_runs = dict(zip(configs, built(spark, folder, "spatial", "temporal")))
+    stores = {(layout, name): Store.open(spark, config.of(name).store_path) for layout, config in configs.items() for name in KEY.variables}
+    clean = {key: store.resolve() for key, store in stores.items()}
+
+    def box(store):
+        sizes = store.state()["sizes"]
+        return {"t": (0, sizes["time"]), "i": (0, sizes["lat"]), "j": (0, sizes["lon"])}
+
+    def amended(name, change=lambda state: None, cells=None, layout="spatial"):
+        store = stores[layout, name]
+        work = store.begin()
         change(work.state)
         if cells is not None:
-            work.write_cells(cells, {"t": (0, sizes["time"]), "i": (0, sizes["lat"]), "j": (0, sizes["lon"])})
+            work.write_cells(cells, box(store))
         work.commit("planted")
 
-    def audited(fault):
-        name = FAULTS[fault][0]
-        # what is told of an unknown unit is told of it in both layouts, so only one store is looked at
-        against = None if fault == "unknown unit" else other
-        audit = Audit(spark, config.of(name), against, samples=3)
-        audit.run(DEFAULT_PHASES if against is None else (*DEFAULT_PHASES, "metadata"))
-        n_cells = stores[name].cells(clean[name]).count()
+    def audited(fault, config=None):
+        name, layout, phases, _ = FAULTS[fault]
+        other = whole_runs["temporal" if layout == "spatial" else "spatial"]
+        audit = Audit(spark, (config or configs[layout]).of(name), other, samples=3)
+        audit.run(phases)
+        n_cells = stores[layout, name].cells(clean[layout, name]).count()
         bad = {phase for phase, _, ok, _ in audit.checks if not ok}
-        return [(fault, phase, phase in bad, n_cells) for phase in (*DEFAULT_PHASES, "metadata")]
-
-    clean = {name: store.resolve() for name, store in stores.items()}
-
-    def unit(state):
-        held = json.loads(json.dumps(state["variables"]))
-        held["signups"]["attrs"]["units"] = "furlong"
-        state["variables"] = held
-
-    amended("view", lambda s: s.__setitem__("attrs", {**s["attrs"], "institution": "elsewhere"}))
-    amended("signup", unit)
-    rows = side_by_side(audited, ["other attribute", "unknown unit"])
-
-    stores["view"].reset(clean["view"])
+        return [(fault, phase, phase in bad, n_cells) for phase in phases]
+
+    def with_state(key, change):
+        def apply(state):
+            state[key] = change(json.loads(json.dumps(state[key])))
+        return apply
+
+    def furlongs(variables):
+        variables["signups"]["attrs"]["units"] = "furlong"
+        return variables
+
+    def julian(coordinates):
+        coordinates["time"]["calendar"] = "julian"
+        return coordinates
+
+    amended("view", with_state("attrs", lambda attrs: {**attrs, "institution": "elsewhere"}))
+    amended("signup", with_state("variables", furlongs))
+    amended("purchase", with_state("coordinates", julian))
+    squeezed, told = config_of(root, fresh_dir(spark, "events-squeezed"), "spatial"), stores["spatial", "error"]
+    work = Store.open_or_create(spark, squeezed.of("error").store_path).begin()
+    work.state = told.state()
+    work.write_cells(told.cells(), box(told))
+    work.write_dims(told.dims())
+    work.commit("all of it")
+    rows = side_by_side(lambda fault: audited(fault, squeezed if fault == "history in one commit" else None), list(FAULTS)[:4])
+
+    for name in ("view", "purchase"):
+        stores["spatial", name].reset(clean["spatial", name])
     halved = (F.col("value") / 2).cast("float").alias("value")
-    amended("click", cells=stores["click"].cells().select("t", "i", "j", halved))
-    audit = Audit(spark, config.of("error"), samples=3)
+    amended("click", cells=stores["spatial", "click"].cells().select("t", "i", "j", halved))
+    audit = Audit(spark, configs["spatial"].of("error"), samples=3)
     looked_at = {*audit.sampled(), *audit.spots(audit.options["range_days"])}
     gone = next(t for t in range(audit.sizes["time"]) if t not in looked_at)
-    amended("error", cells=stores["error"].cells().where(F.col("t") != gone))
-    raw = RawVariable(spark, config, "purchase")
+    amended("error", cells=told.cells().where(F.col("t") != gone))
+    held = stores["temporal", "view"]
+    tile = held.manifest().orderBy("n_valid", "ci", "cj").select("ci", "cj").first()
+    lost = (F.floor(F.col("i") / 6) == tile.ci) & (F.col("j") == tile.cj)
+    amended("view", cells=held.cells().where(~lost).sortWithinPartitions("i", "j", "t"), layout="temporal")
+    held = stores["temporal", "signup"]
+    last = held.cells().agg(F.max(F.struct("t", "i", "j")).alias("at")).first().at
+    here = (F.col("t") == last.t) & (F.col("i") == last.i) & (F.col("j") == last.j)
+    nudged = F.when(here, (F.col("value").cast("double") * (1 + 2.0**-23)).cast("float")).otherwise(F.col("value"))
+    amended("signup", cells=held.cells().withColumn("value", nudged), layout="temporal")
+    raw = RawVariable(spark, configs["spatial"], "purchase")
     moved = spark.read.schema(SCHEMA).parquet(raw.files[0]).withColumn("lat", F.col("lat") + F.when(F.col("i") == 7, 0.5).otherwise(0.0))
     moved.sortWithinPartitions("local_t", "i", "j").write.parquet(f"{root}/moved")
     SharedFs(spark, root).delete(raw.files[0])
     SharedFs(spark, root).move(f"{root}/moved", raw.files[0])
-    rows += side_by_side(audited, ["changed values", "open identity", "lost chunk", "moved axis"])
+    rows += side_by_side(audited, list(FAULTS)[4:])
     return spark.createDataFrame([r for part in rows for r in part], "fault string, phase string, failed boolean, n_cells long")
 
 
