@@ -1,11 +1,11 @@
 """Exact percentiles without gathering a group in one task.
 
-``percentile()`` keeps every distinct value of a group in one buffer, which a hot
-group does not survive. Here each value is split into digits whose order is the
-order of the values (octave and leading mantissa bits, then the bits below). One
-histogram per digit finds the bucket that holds a wanted rank; the next digit is
-counted only inside such buckets. Every step is a map-side combined count, and the
-only windows run over histograms, whose length is fixed by the digit width.
+``percentile()`` keeps every distinct value of a group in one buffer, which a hot group does not survive. Here a
+mergeable sketch first tells, of every group, values between which a wanted rank surely lies: its error is bounded by a
+share of the group's rows, and the bracket is several times as wide. A second pass counts what lies below
+each bracket, and the values inside it, both combined map-side. A bracket holds about a hundredth of a group;
+where that is still much, the values inside are sketched again, so that no task ever sorts more than a fixed number of
+them. Whether each bracket held its rank is checked on the exact counts, and one that did not is opened.
 """
 
 from __future__ import annotations
@@ -16,44 +16,36 @@ from pyspark.sql import functions as F
 from gridcube.functions.grid import is_finite
 from gridcube.session import cut_lineage
 
-# mantissa bits per digit: 23 for float32, 52 for doubles and integers up to 2^53
-_WIDTHS = {"float": (11, 12)}
-_DOUBLE = (12, 20, 20)
+STEPS = 500  # quantiles a sketch is asked for
+ACCURACY = 10_000  # a sketch is wrong by at most one in so many rows, a twentieth of a step
+MARGIN = 2  # steps on either side of the one a rank falls into
+SMALL = 20_000  # groups up to here are not bracketed: their values are counted
+MOST_INSIDE = 1_000_000  # distinct values in a bracket that one task sorts
 BROADCAST_ROWS = 100_000
 
 
-def with_digits(rows: DataFrame, value: str, widths: tuple[int, ...], names: list[str]) -> DataFrame:
-    """Adds the digits of a finite double, most significant first, ordered like it.
+def _bracketed(sketched: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _place, _lo, _hi): between which values the ranks on either side of ``_place`` lie. ``_place`` counts
+    from the first of all values of the group, ``_under`` of which are known to lie below those sketched."""
+    def step(rank, rounded, margin):
+        return (rounded((rank - F.col("_under")) / F.col("_n") * STEPS) + margin).cast("int")
 
-    Intermediate results are columns of their own, so each is computed once.
-    """
-    two = F.lit(2.0)
-    size, octave = F.abs(value), F.col("_octave")
-    rows = rows.withColumn("_octave", F.floor(F.log2(size)))
-    # log2 may round across a power of two; powers of two themselves are exact
-    rows = rows.withColumn(
-        "_octave",
-        F.when(F.pow(two, octave) > size, octave - 1).when(F.pow(two, octave + 1) <= size, octave + 1).otherwise(octave),
-    )
-    rows = rows.withColumn("_rest", size / F.pow(two, octave) - 1)
-    for position, (width, name) in enumerate(zip(widths, names)):
-        rows = rows.withColumn("_rest", F.col("_rest") * F.lit(float(2**width)))
-        whole = F.floor("_rest")
-        digit = whole + (octave + 1075) * F.lit(2**width) if position == 0 else whole
-        digit = F.when(F.col(value) == 0, F.lit(0)).otherwise(F.signum(value) * digit).cast("long")
-        rows = rows.withColumn(name, digit).withColumn("_rest", F.col("_rest") - whole)
-    return rows.drop("_octave", "_rest")
-
-
-def _pinned(targets: DataFrame) -> tuple[DataFrame, bool]:
-    """The rank targets as a small stored table, and whether all values are known.
-
-    A row per group, percent and end. Without pinning, each level would recompute the
-    levels before it. Broadcast only up to a counted size.
-    """
-    held = cut_lineage(targets)
-    seen = held.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_v") < F.col("_w")).alias("n_open")).first()
-    return (F.broadcast(held) if seen.n <= BROADCAST_ROWS else held), seen.n_open == 0
+    first, last = step(F.floor("_place"), F.floor, -MARGIN), step(F.ceil("_place") + 1, F.ceil, MARGIN)
+    few = F.col("_n") <= SMALL
+    lowest = F.when(few | (first <= 0), F.col("_low")).otherwise(F.get("_q", first))
+    highest = F.when(few | (last >= STEPS), F.col("_high")).otherwise(F.get("_q", last))
+    return sketched.select(*keys, "_place", lowest.alias("_lo"), highest.alias("_hi"))
+
+
+def _sketched(rows: DataFrame, keys: list[str]) -> DataFrame:
+    quantiles = F.percentile_approx("_v", [k / STEPS for k in range(STEPS + 1)], ACCURACY)
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), quantiles.alias("_q"))
+
+
+def _beside(rows: DataFrame, brackets: DataFrame, by: list[str], n: int) -> DataFrame:
+    """Rows with the brackets of their group as one array; broadcast up to a counted number of brackets."""
+    gathered = brackets.groupBy(*by).agg(F.collect_list(F.struct("percent", "_lo", "_hi")).alias("_brackets"))
+    return rows.join(F.broadcast(gathered) if n <= BROADCAST_ROWS else gathered, by)
 
 
 def exact_percentiles(
@@ -61,68 +53,51 @@ def exact_percentiles(
 ) -> DataFrame:
     """(groups..., percent, value): linear interpolation between closest ranks.
 
-    Only finite values count. ``df`` is read once per digit that is needed, two or three
-    times. ``costly`` says that it is more than a scan: equal values are then counted once and
-    kept, and all digits work on those counts.
+    Only finite values count, as doubles. ``df`` is read twice, twice more for every time that brackets are
+    narrowed again. ``costly`` says that it is more than a scan: its values are then kept in between.
     """
-    widths = _WIDTHS.get(df.schema[value].dataType.typeName(), _DOUBLE)
-    names = [f"_d{k}" for k in range(len(widths))]
-    double = F.col(value).cast("double")
     by = groups or ["_all"]
+    keys = [*by, "percent"]
     rows = df.where(is_finite(F.col(value)))
     if not groups:
         rows = rows.withColumn("_all", F.lit(0))
-    rows = rows.select(*by, double.alias("_v"))
+    rows = rows.select(*by, F.col(value).cast("double").alias("_v"))
     if costly:
-        rows = cut_lineage(rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_times")))
-    else:
-        rows = rows.withColumn("_times", F.lit(1).cast("long"))
-    rows = with_digits(rows, "_v", widths, names)
-    before = F.col("_upto") - F.col("_n")
-    holds_rank = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= before)
-
-    def histogram(source: DataFrame, keys: list[str], digit: str) -> DataFrame:
-        counted = source.groupBy(*keys, digit).agg(
-            F.sum("_times").alias("_n"), F.min("_v").alias("_v"), F.max("_v").alias("_w")
-        )
-        inside = Window.partitionBy(*keys)
-        return counted.withColumn(
-            "_upto", F.sum("_n").over(inside.orderBy(digit).rowsBetween(Window.unboundedPreceding, 0))
-        ).withColumn("_total", F.sum("_n").over(inside))
-
-    place = F.col("_p") / 100 * (F.col("_total") - 1)
-    end_rank = F.when(F.col("_end") == "lo", F.floor(place)).otherwise(F.ceil(place))
-    targets = (
-        histogram(rows, by, names[0])
-        .withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in percents])))
-        .withColumn("_end", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
-        .withColumn("_rank", end_rank)
-        .where(holds_rank)
-        .select(
-            *by, F.col("_p").alias("percent"), "_end", (place - F.floor(place)).alias("_share"),
-            (F.col("_rank") - before).alias("_rank"), names[0], "_v", "_w",
-        )
-    )
-    for level in range(1, len(widths)):
-        targets, known = _pinned(targets)
-        if known:
+        rows = cut_lineage(rows)
+    percent = F.explode(F.array(*[F.lit(float(p)) for p in percents]))
+    sketched = _sketched(rows, by).select("*", percent.alias("percent"), F.lit(0).cast("long").alias("_under"))
+    brackets = _bracketed(sketched.withColumn("_place", F.col("percent") / 100 * (F.col("_n") - 1)), keys)
+    while True:
+        brackets = cut_lineage(brackets)
+        beside = _beside(rows, brackets, by, brackets.count())
+        # a row counts for the brackets it lies in, by its value, and for those above it, without
+        places = F.transform(
+            F.filter("_brackets", lambda b: F.col("_v") <= b["_hi"]),
+            lambda b: F.struct(b["percent"].alias("percent"), F.when(F.col("_v") >= b["_lo"], F.col("_v")).alias("_v")))
+        counted = beside.select(*by, F.explode(places).alias("_at")).groupBy(*by, F.col("_at.percent").alias("percent"), F.col("_at._v").alias("_v"))
+        counted = cut_lineage(counted.agg(F.count(F.lit(1)).alias("_times")))
+        outside = F.col("_v").isNull()
+        seen = counted.groupBy(*keys).agg(
+            F.coalesce(F.sum(F.when(outside, F.col("_times"))), F.lit(0)).alias("_under"),
+            F.coalesce(F.sum(F.when(~outside, F.col("_times"))), F.lit(0)).alias("_inside"), F.count("_v").alias("_different"))
+        judged = brackets.join(seen, keys, "left")
+        held = (F.coalesce("_under", F.lit(0)) <= F.floor("_place")) & (F.ceil("_place") < F.coalesce(F.col("_under") + F.col("_inside"), F.lit(0)))
+        state = judged.agg(F.count_if(~held).alias("missed"), F.max(F.when(held, F.col("_different"))).alias("most")).first()
+        if state.missed:
+            everything = F.lit(float("inf"))
+            brackets = judged.select(*keys, "_place", F.when(held, F.col("_lo")).otherwise(-everything).alias("_lo"), F.when(held, F.col("_hi")).otherwise(everything).alias("_hi"))
+        elif (state.most or 0) > MOST_INSIDE:
+            inside = F.explode(F.filter("_brackets", lambda b: F.col("_v").between(b["_lo"], b["_hi"]))).alias("_at")
+            again = _sketched(beside.select(*by, "_v", inside).select(*by, "_v", F.col("_at.percent").alias("percent")), keys)
+            brackets = _bracketed(again.join(judged.select(*keys, "_place", "_under"), keys), keys)
+        else:
             break
-        keys = [*by, *names[:level]]
-        inside = rows.join(targets.select(*keys), keys, "left_semi")
-        counted = histogram(inside, keys, names[level])
-        targets = (
-            targets.drop("_v", "_w").join(counted, keys).where(holds_rank)
-            .select(
-                *by, "percent", "_end", "_share", (F.col("_rank") - before).alias("_rank"),
-                *names[: level + 1], "_v", "_w",
-            )
-        )
-    ends = targets.groupBy(*by, "percent").agg(
-        F.max(F.when(F.col("_end") == "lo", F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_end") == "hi", F.col("_v"))).alias("_hi"),
-        F.max("_share").alias("_share"),
-    )
-    result = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_share")
+    in_order = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.where("_v is not null").withColumn("_upto", F.sum("_times").over(in_order)).join(judged.select(*keys, "_place", "_under"), keys)
+    upto = upto.withColumn("_upto", F.col("_upto") + F.col("_under"))
+    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_v")))
+    ends = upto.groupBy(*keys, "_place").agg(at(F.floor("_place")).alias("_from"), at(F.ceil("_place")).alias("_to"))
+    result = F.col("_from") + (F.col("_to") - F.col("_from")) * (F.col("_place") - F.floor("_place"))
     return ends.select(*groups, "percent", result.alias("value"))
 
 
