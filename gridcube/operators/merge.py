@@ -79,19 +79,27 @@ def comparison_totals(compared_cells: DataFrame, by: Sequence[str]) -> DataFrame
     )
 
 
+def bisected(step: Column, firsts: Column) -> Column:
+    """How many elements of a sorted array are at most ``step``: one bisection per row, halving from 2^30 down,
+    whatever the array's length up to there."""
+    strides = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+    return F.aggregate(
+        strides, F.lit(0),
+        lambda at, stride: F.when((at + stride <= F.size(firsts)) & (F.get(firsts, at + stride - 1) <= step), at + stride).otherwise(at))
+
+
 def locate(steps: DataFrame, files: DataFrame) -> DataFrame:
     """Global step -> (file, step within it).
 
-    ``files`` has (variable, file, n_steps, first_step). The file ranges tile the
-    axis, so spelling them out per step turns a range join into an equi-join whose
-    build side is no longer than the time axis.
+    ``files`` has (variable, file, n_steps, first_step). A variable's file ranges become one sorted array, and each
+    step finds its range there by bisection: an interval join without a row per step of a file. Steps that
+    no file covers are left out.
     """
-    spelled = files.where(F.col("n_steps") > 0).select(
-        "variable", "file", F.posexplode(
-            F.sequence(F.col("first_step"), F.col("first_step") + F.col("n_steps") - 1)
-        ).alias("local_t", "t"),
-    )
-    return steps.join(spelled, ["variable", "t"])
+    ranges = files.where(F.col("n_steps") > 0).groupBy("variable").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("first_step").cast("long").alias("first"), F.col("n_steps").cast("long").alias("n"), "file"))).alias("_files"))
+    found = steps.join(ranges, "variable").withColumn("_at", F.get("_files", bisected(F.col("t"), F.col("_files.first")) - 1))
+    local = F.col("t") - F.col("_at.first")
+    return found.where(local < F.col("_at.n")).select(*steps.columns, F.col("_at.file").alias("file"), local.alias("local_t"))
 
 
 def axis_positions(labels: DataFrame, label: str) -> DataFrame:
