@@ -230,7 +230,10 @@ def judged(conversations: DataFrame) -> DataFrame:
 
 def edits(turns: DataFrame) -> DataFrame:
     """conv_id, block, audit, cost for every block of :func:`judged` turns; cost is that of the whole conversation."""
-    blocks = turns.groupBy("conv_id", F.floor(F.col("position") / BLOCK).alias("block")).agg(
+    # a block is a few letters and much work, so blocks are dealt out by number, not joined by their bytes
+    tasks = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    codes = turns.select("conv_id", F.floor(F.col("position") / BLOCK).alias("block"), "position", "code", "last").repartition(tasks, "conv_id", "block")
+    blocks = codes.groupBy("conv_id", "block").agg(
         F.array_sort(F.collect_list(F.struct("position", "code"))).alias("places"), F.max("last").alias("last"))
     blocks = blocks.select("conv_id", "block", F.array_join(F.transform("places", lambda p: p["code"]), "").alias("codes"), "last")
     conv = turns.schema["conv_id"]
