@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import FIRST_DAY, settings, write_raw
 from gridcube.config import GridConfig
 from gridcube.cube import Cube, inventory
-from gridcube.plans.build import build_family, build_store
+from gridcube.plans.build import Source, blocks_of, build_family, build_store
 from gridcube.plans.store import Store
 from gridcube.sources.raw import RawVariable
 
@@ -134,3 +134,35 @@ def test_cube(spark, family):
     assert pick(temporal).exceptAll(pick(spatial)).isEmpty() and pick(spatial).count() == pick(temporal).count() > 0
     year = spatial.annual_mean().first()
     assert str(year.year_end) == "1980-12-31"
+
+
+def test_blocks_are_filled_in_one_pass(spark, lone, monkeypatch):
+    """A resumed build reads raw once for all blocks that are missing, and commits each."""
+    config = lone("temporal", block_shape={"lat": 5, "lon": 20})
+    build_store(spark, config)
+    store = Store.open(spark, config.store_path)
+    assert len(store.ancestry()) == 2 + 4 * 2
+    store.reset(store.ancestry()[-4].id)
+    passes, write = [], Store.write_parts
+
+    def counted(self, cells, n, chunks):
+        passes.append((n, cells._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")))
+        return write(self, cells, n, chunks)
+
+    monkeypatch.setattr(Store, "write_parts", counted)
+    assert build_store(spark, config) == 6 and passes == [(6, 1)]
+    assert equals_raw(spark, config)
+    store.reset(store.ancestry()[4].id)
+    few = GridConfig({**config.settings, "blocks_per_pass": 3}, config.key).of("E")
+    assert build_store(spark, few) == 4 and [n for n, _ in passes] == [6, 3, 1] and equals_raw(spark, config)
+    assert not store.fs.list(f"{store.path}/staged")
+
+
+def test_cells_of_blocks(spark, lone):
+    config = lone("temporal", block_shape={"lat": 15, "lon": 30})
+    source = Source(spark, config)
+    blocks = config.blocks(source.chunks, source.sizes)
+    assert len(blocks) == 4
+    cells = blocks_of(source.raw.cells(steps=(0, 1)), blocks, [blocks[3], blocks[0]])
+    ends = {r.part: tuple(r)[1:] for r in cells.groupBy("part").agg(F.min("i"), F.max("i"), F.min("j"), F.max("j"), F.count("*")).collect()}
+    assert ends == {0: (15, 19, 30, 39, 50), 1: (0, 14, 0, 29, 450)}
