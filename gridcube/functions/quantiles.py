@@ -5,12 +5,13 @@ mergeable sketch first tells, of every group, values between which a wanted rank
 share of the group's rows, and the bracket is several times as wide. A second pass counts what lies below
 each bracket, and the values inside it, both combined map-side. A bracket holds about a hundredth of a group;
 where that is still much, the values inside are sketched again, so that no task ever sorts more than a fixed number of
-them. Whether each bracket held its rank is checked on the exact counts, and one that did not is opened.
+them. Whether each bracket held its rank is checked on the exact counts, and one that did not is opened. Groups
+that are no larger than this number to begin with are counted and sorted as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcube.functions.grid import is_finite
@@ -48,13 +49,26 @@ def _beside(rows: DataFrame, brackets: DataFrame, by: list[str], n: int) -> Data
     return rows.join(F.broadcast(gathered) if n <= BROADCAST_ROWS else gathered, by)
 
 
+def _running(keys: list[str]) -> Column:
+    """How many values of the group are at most this one."""
+    return F.sum("_times").over(Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+
+
+def _interpolated(values: DataFrame, keys: list[str], groups: list[str]) -> DataFrame:
+    """The value at each place, between the two ranks beside it, from values with their running counts."""
+    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_v")))
+    ends = values.groupBy(*keys, "_place").agg(at(F.floor("_place")).alias("_from"), at(F.ceil("_place")).alias("_to"))
+    result = F.col("_from") + (F.col("_to") - F.col("_from")) * (F.col("_place") - F.floor("_place"))
+    return ends.select(*groups, "percent", result.alias("value"))
+
+
 def exact_percentiles(
     df: DataFrame, groups: list[str], value: str, percents: list[float], costly: bool = False
 ) -> DataFrame:
     """(groups..., percent, value): linear interpolation between closest ranks.
 
-    Only finite values count, as doubles. ``df`` is read twice, twice more for every time that brackets are
-    narrowed again. ``costly`` says that it is more than a scan: its values are then kept in between.
+    Only finite values count, as doubles. ``df`` is read to count its groups and to count its values; in between to sketch
+    it, where groups are large, and twice more for every time that brackets are narrowed again. ``costly`` says that it is more than a scan: its values are then kept in between.
     """
     by = groups or ["_all"]
     keys = [*by, "percent"]
@@ -65,8 +79,14 @@ def exact_percentiles(
     if costly:
         rows = cut_lineage(rows)
     percent = F.explode(F.array(*[F.lit(float(p)) for p in percents]))
+    place = F.col("percent") / 100 * (F.col("_n") - 1)
+    if (rows.groupBy(*by).count().agg(F.max("count").alias("n")).first().n or 0) <= MOST_INSIDE:
+        values = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_times"))
+        whole = values.withColumn("_upto", _running(by)).withColumn("_n", F.sum("_times").over(Window.partitionBy(*by)))
+        return _interpolated(whole.select("*", percent.alias("percent")).withColumn("_place", place), keys, groups)
     sketched = _sketched(rows, by).select("*", percent.alias("percent"), F.lit(0).cast("long").alias("_under"))
-    brackets = _bracketed(sketched.withColumn("_place", F.col("percent") / 100 * (F.col("_n") - 1)), keys)
+    brackets = _bracketed(sketched.withColumn("_place", place), keys)
+    opened = False  # a bracket that missed is opened for good, so that this ends
     while True:
         brackets = cut_lineage(brackets)
         beside = _beside(rows, brackets, by, brackets.count())
@@ -84,21 +104,17 @@ def exact_percentiles(
         held = (F.coalesce("_under", F.lit(0)) <= F.floor("_place")) & (F.ceil("_place") < F.coalesce(F.col("_under") + F.col("_inside"), F.lit(0)))
         state = judged.agg(F.count_if(~held).alias("missed"), F.max(F.when(held, F.col("_different"))).alias("most")).first()
         if state.missed:
+            opened = True
             everything = F.lit(float("inf"))
             brackets = judged.select(*keys, "_place", F.when(held, F.col("_lo")).otherwise(-everything).alias("_lo"), F.when(held, F.col("_hi")).otherwise(everything).alias("_hi"))
-        elif (state.most or 0) > MOST_INSIDE:
+        elif (state.most or 0) > MOST_INSIDE and not opened:
             inside = F.explode(F.filter("_brackets", lambda b: F.col("_v").between(b["_lo"], b["_hi"]))).alias("_at")
             again = _sketched(beside.select(*by, "_v", inside).select(*by, "_v", F.col("_at.percent").alias("percent")), keys)
             brackets = _bracketed(again.join(judged.select(*keys, "_place", "_under"), keys), keys)
         else:
             break
-    in_order = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counted.where("_v is not null").withColumn("_upto", F.sum("_times").over(in_order)).join(judged.select(*keys, "_place", "_under"), keys)
-    upto = upto.withColumn("_upto", F.col("_upto") + F.col("_under"))
-    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_v")))
-    ends = upto.groupBy(*keys, "_place").agg(at(F.floor("_place")).alias("_from"), at(F.ceil("_place")).alias("_to"))
-    result = F.col("_from") + (F.col("_to") - F.col("_from")) * (F.col("_place") - F.floor("_place"))
-    return ends.select(*groups, "percent", result.alias("value"))
+    upto = counted.where("_v is not null").withColumn("_upto", _running(keys)).join(judged.select(*keys, "_place", "_under"), keys)
+    return _interpolated(upto.withColumn("_upto", F.col("_upto") + F.col("_under")), keys, groups)
 
 
 def robust_limits(
