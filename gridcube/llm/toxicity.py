@@ -6,10 +6,17 @@ within a term's allowed distance of it is intersected with the trie; its states
 (trie node, errors), made deterministic as they are met and kept per worker, so that most words
 leave it after a few characters. Every term has its misspellings; only words close to it that
 clean documents use at least as often as toxic ones are exceptions, and others that clean
-documents use weigh what their own counts say. How far clean words crowd around a term is a share
-of its other misspelled hits' weight that counts as a feature of its own. Hits count differently by distance and by context: a window around each hit tells whether it stands in
-quotation marks or beside a word of reporting, and how dense hits are.
-A ridge logistic regression, with prior means that say what the features mean, weighs them.
+documents use weigh what their own counts say. How often a term's misspelled hits, and those of
+terms that begin like it, turn up in clean documents whose words were not looked at is a share of
+their weight that counts as a feature of its own, so that a misspelled hit weighs by the term it
+stands for. Hits count differently by distance and by context: a window around each hit tells
+whether it stands in quotation marks or beside a word of reporting, and how dense hits are.
+
+A ridge logistic regression, with prior means that say what the features mean, weighs them. No
+kind of hit may speak against the label, and none misspelled may speak louder than the exact one.
+Rows with exact hits teach four times, with a quarter of their weight: as they are and with all hits but
+the strongest left out, each also with its terms misspelled. Labelled rows seldom show a term alone
+or all of them misspelled, and weights that nothing holds up would go to what such rows happen to share.
 
 Scoring is one pass over the documents, without a shuffle; the model is a few hundred terms.
 """
@@ -17,7 +24,9 @@ Scoring is one pass over the documents, without a shuffle; the model is a few hu
 from __future__ import annotations
 
 import math
+import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,8 +39,8 @@ from gridcube.llm.common import Remembered, bucket_of, kept, slices, small_batch
 from gridcube.llm.minhash import band_hashes, shingles, signature
 
 FIT_ROWS = 6000  # labelled rows of each class at most that a model is fitted on
-MOST_TERMS = 2000  # terms of the lexicon
 STEMS = (4, 5, 6)  # lengths of word beginnings that may become terms
+FAMILY = 4  # terms that begin with the same letters share the doubt about their misspellings
 WINDOW = 8  # words on either side of a hit
 KNOWN = 100_000  # words in each of the two generations whose verdict a worker remembers
 COUNTS = ("toxic", "clean", "toxic_0", "clean_0")
@@ -44,7 +53,9 @@ REPORTING = frozenset("said says called calls wrote quote quoted quotes unquote"
 # intercept, plain exact, quoted exact, plain fuzzy, quoted fuzzy, the same two as far as clean
 # words crowd around the terms, densest window, share of words
 PRIOR = np.array([-3.0, 5.0, 1.5, 3.5, 0.5, 1.0, 0.2, 1.0, 1.0])
+EXACT_AND_WRONG = ((1, 3), (2, 4))  # places of exact hits and of misspelled ones in the same context
 RIDGE = 0.5
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def cleaned(token: str) -> str:
@@ -195,7 +206,7 @@ class Lexicon:
                 inside -= firm[first]
                 first += 1
             densest = max(densest, inside)
-        return [1.0, *(math.log1p(x / 5) for x in sums), math.log1p(max(0.0, densest - 1)), math.sqrt(sum(firm) / max(1, len(tokens)))]
+        return [1.0, *(math.log1p((x / 5) ** 2) for x in sums), math.log1p(max(0.0, densest - 1)), math.sqrt(sum(firm) / max(1, len(tokens)))]
 
 
 def _reported(tokens: list[str], i: int) -> bool:
@@ -252,7 +263,7 @@ def _vocabulary(rows: DataFrame) -> DataFrame:
         for batch in (part for whole in batches for part in slices(whole, 128)):
             counts = Counter(), Counter(), Counter(), Counter()
             for text, label, half in zip(*(column.to_pylist() for column in batch.columns)):
-                words = {w for w in map(cleaned, set(text.lower().split())) if 2 < len(w) <= 40}
+                words = {w for w in map(cleaned, set(text.lower().split())) if len(w) > 2}
                 terms = words | {w[:n] + "*" for w in words for n in STEMS if len(w) > n}
                 counts[1 - label].update(terms)
                 if not half:
@@ -290,27 +301,80 @@ def _lexicon(counts: list, toxic: int, clean: int) -> dict[str, float]:
             if seen[stem] < 3 or any(s >= score for s in inner):
                 continue
         out.append((-score, term, odds))
-    return {term: odds for _, term, odds in sorted(out)[:MOST_TERMS]}
-
+    return {term: odds for _, term, odds in sorted(out)}
+
+
+def misspelled(text: str, lexicon: Lexicon) -> str | None:
+    """The text with one letter changed, left out or put in in each word that is a term, wherever
+    the term allows it; None if no word is one. The same for the same text."""
+    tokens = text.lower().split()
+    draw = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    found = False
+    for k, token in enumerate(tokens):
+        word = cleaned(token)
+        hit = lexicon.match(word) if lexicon.known[token] else None
+        if hit and not hit[0] and hit[2] and distance_of(word):
+            at, kind = draw.randrange(1, len(word)), draw.randrange(3)
+            put = draw.choice([c for c in LETTERS if c != word[at]]) if kind < 2 else ""
+            wrong = word[:at] + put + word[at + (kind != 1) :]
+            tokens[k] = token.replace(word, wrong) if word in token else wrong
+            found = True
+    return " ".join(tokens) if found else None
+
+
+def alone(text: str, lexicon: Lexicon) -> str:
+    """The text without its hits but the first of those that weigh most."""
+    tokens = text.lower().split()
+    found = {k: hit for k, token in enumerate(tokens) if (hit := lexicon.known[token])}
+    best = max(found, key=lambda k: (not found[k][0], found[k][1], -k), default=None)
+    return " ".join(token for k, token in enumerate(tokens) if k == best or k not in found)
+
+
+def lessons(text: str, lexicon: Lexicon) -> list[str]:
+    """What a labelled row teaches: itself, and where a term occurs copies of it."""
+    wrong = misspelled(text, lexicon)
+    if not wrong:
+        return [text]
+    single = alone(text, lexicon)
+    return [text, wrong, single, misspelled(single, lexicon) or single]
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
+    """Weighted logistic regression drawn towards ``prior`` by projected Newton steps.
+
+    All coefficients but the first are at least 0, and each kind of misspelled hit has at most that
+    of the exact hit in the same context: the exact one's is written as the largest misspelled
+    one's plus a rest, and the rest bounded instead.
+    """
+    mix = np.eye(len(prior))
+    for exact, wrong in EXACT_AND_WRONG:
+        mix[exact, wrong] = 1.0  # coefficient of exact = rest + coefficient of wrong
+    inner, aim = x @ mix, np.linalg.solve(mix, prior)
 
-def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
-    """Logistic regression drawn towards ``prior``, by Newton steps that are halved until they help."""
     def loss(b):
-        z = x @ b
-        return np.logaddexp(0, z).sum() - y @ z + ridge / 2 * ((b - prior) ** 2).sum()
-
-    beta = prior.copy()
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (y - p) - ridge * (beta - prior)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        step, now = np.linalg.solve(hessian, gradient), loss(beta)
-        while loss(beta + step) > now and np.abs(step).max() > 1e-9:
-            step = step / 2
-        beta = beta + step
-        if np.abs(step).max() < 1e-6:
+        z = inner @ b
+        return weight @ (np.logaddexp(0, z) - y * z) + ridge / 2 * ((b - aim) ** 2).sum()
+
+    beta = aim.copy()
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(inner @ beta, -30, 30)))
+        gradient = inner.T @ (weight * (p - y)) + ridge * (beta - aim)
+        hessian = (inner * (weight * p * (1 - p))[:, None]).T @ inner + ridge * np.eye(len(aim))
+        free = (beta > 0) | (gradient < 0)
+        free[0] = True
+        step = np.zeros(len(aim))
+        step[free] = np.linalg.solve(hessian[np.ix_(free, free)], -gradient[free])
+        size, now = 1.0, loss(beta)
+        while True:
+            after = beta + size * step
+            after[1:] = np.maximum(0.0, after[1:])
+            if loss(after) <= now or size < 1e-9:
+                break
+            size /= 2
+        moved, beta = np.abs(after - beta).max(), after
+        if moved < 1e-7:
             break
-    return beta
+    return mix @ beta
 
 
 class Model:
@@ -372,21 +436,37 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
                 own[r["word"]] = max(0.0, math.log((x + 0.5) / (t + 1)) - math.log((y + 0.5) / (c + 1)))
         return usual, own
 
-    around = Counter()
+    around = Counter()  # in clean rows of one half, words that the other half's would not have excepted
     for r in near:
-        around[r["term"]] += r["clean"] / sum(clean)
-    crowds = {term: share / (share + found[term][0] / sum(toxic)) for term, share in around.items()}
+        parts = (r["clean_0"], r["clean"] - r["clean_0"])
+        around[r["term"][:FAMILY]] += sum(parts) * (min(parts) == 0) / sum(clean)
+    words = [term for term in terms if not term.endswith("*")]
+    relatives = Counter(term[:FAMILY] for term in words)
+    crowds = {}
+    for term in words:
+        a, b = found[term]
+        if share := around[term[:FAMILY]]:
+            crowds[term] = share / (share + a / sum(toxic))
+            # as a word like it, it would be met in clean documents as often as those were
+            b += share * sum(clean) / relatives[term[:FAMILY]]
+            terms[term] = max(0.1, math.log((a + 0.5) / (sum(toxic) + 1)) - math.log((b + 0.5) / (sum(clean) + 1)))
     exceptions, own = judged(None)
     halves = [Lexicon(terms, others, crowds, weights) for others, weights in (judged(1), judged(0))]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [halves[half].features(t) for t, half in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
+            x, y, weights = [], [], []
+            for text, label, half in zip(*(column.to_pylist() for column in batch.columns)):
+                copies = lessons(text, halves[half])
+                x += [halves[half].features(t) for t in copies]
+                y += [label] * len(copies)
+                weights += [1 / len(copies)] * len(copies)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32()), pa.array(weights, pa.float64())], ["x", "label", "weight"])
 
-    fitted = sample.select("text", "label", "half").mapInArrow(features, "x array<double>, label int").collect()  # the bounded sample
-    x, y = np.array([r["x"] for r in fitted]), np.array([r["label"] for r in fitted], float)
-    return Model(terms, exceptions, crowds, own, logistic(x, y, PRIOR))
+    fitted = sample.select("text", "label", "half").mapInArrow(features, "x array<double>, label int, weight double").collect()  # the bounded sample
+    x, y, weight = np.array([r["x"] for r in fitted]), np.array([r["label"] for r in fitted], float), np.array([r["weight"] for r in fitted])
+    return Model(terms, exceptions, crowds, own, logistic(x, y, weight, PRIOR))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, model: Model | None = None) -> DataFrame:

@@ -162,6 +162,29 @@ def test_toxicity_of_awkward_rows_and_without_labels(docs, make, spark):
     assert toxicity.toxicity(make([]), none).count() == 0
 
 
+def test_weights_of_hits_keep_their_order():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = np.abs(rng.normal(size=(400, len(toxicity.PRIOR))))
+    x[:, 0] = 1
+    y = (x[:, 3] - x[:, 1] - x[:, 4] + rng.normal(size=400) > 0).astype(float)  # misspelled hits speak louder, quoted ones against
+    got = toxicity.logistic(x, y, np.ones(400), toxicity.PRIOR)
+    assert (got[1:] >= 0).all() and got[3] <= got[1] + 1e-9 and got[4] <= got[2] + 1e-9
+
+    def loss(b):
+        z = x @ b
+        rest = np.array([b[0], b[1] - b[3], b[2] - b[4], *b[3:]])
+        aim = np.array([toxicity.PRIOR[0], toxicity.PRIOR[1] - toxicity.PRIOR[3], toxicity.PRIOR[2] - toxicity.PRIOR[4], *toxicity.PRIOR[3:]])
+        return (np.logaddexp(0, z) - y * z).sum() + toxicity.RIDGE / 2 * ((rest - aim) ** 2).sum()
+
+    for _ in range(2000):  # no point near by that keeps the order is better
+        other = got + rng.normal(size=len(got)) * 0.01
+        other[1:] = np.maximum(0, other[1:])
+        other[1], other[2] = max(other[1], other[3]), max(other[2], other[4])
+        assert loss(other) >= loss(got) - 1e-7
+
+
 # quality
 
 def test_quality_held_out(make, spark):

@@ -1,7 +1,9 @@
 """The registered queries that SQL cannot express, and the pipeline, on the smallest tables."""
 
+import bisect
 import hashlib
 import html
+import random
 import re
 from collections import Counter
 from pathlib import Path
@@ -18,6 +20,7 @@ from .test_near import near_reference
 from .test_tokens import crc, ids_of, packed_ok
 
 FOLDER = "/root/testdata/sf0.001"
+LARGE = "/root/testdata/sf0.1"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables here")
 
 
@@ -66,12 +69,59 @@ def test_languages(spark, rows):
     assert len(held) > 30 and sum(got[d]["lang_pred"] == lang for d, _, lang, _ in held) >= 0.95 * len(held)
 
 
-@pytest.mark.parametrize("name, column", [("op5_toxicity", "toxic"), ("op6_quality", "quality")])
-def test_classifiers(spark, rows, name, column):
-    got = {r["doc_id"]: r for r in run(spark, name)}
-    assert sorted(got) == sorted(r[0] for r in rows)
-    label = {r["doc_id"]: r[column] for r in table(spark, FOLDER, "labels").collect()}
-    assert sum(got[d]["predicted"] == y for d, y in label.items()) >= 0.85 * len(label)
+def held_out_rates(spark, name, column, folder):
+    """(precision, recall, area under the curve, share of the label) on rows never learned from."""
+    got = {r["doc_id"]: r for r in entry_module.queries()[name](spark, folder).collect()}
+    assert sorted(got) == sorted(r["doc_id"] for r in table(spark, folder, "documents").select("doc_id").collect())
+    label = {r["doc_id"]: r[column] for r in table(spark, folder, "labels").collect()}
+    held = sorted((got[d]["score"], got[d]["predicted"], y) for d, y in label.items() if got[d]["held_out"] and y is not None)
+    positive, negative = [s for s, _, y in held if y], [s for s, _, y in held if not y]
+    above = sum(bisect.bisect_left(negative, s) + bisect.bisect_right(negative, s) for s in positive) / 2
+    hits = sum(p for _, p, y in held if y)
+    return hits / max(1, sum(p for _, p, _ in held)), hits / len(positive), above / (len(positive) * len(negative)), len(positive) / len(held)
+
+
+@pytest.mark.parametrize("name, column, precision, recall, area", [
+    ("op5_toxicity", "toxic", 0.9, 0.85, 0.93), ("op6_quality", "quality", 0.93, 0.93, 0.9)])
+def test_classifiers_on_held_out_rows(spark, name, column, precision, recall, area):
+    """A constant has an area of 0.5 and, where it says yes, the share of the label as precision."""
+    got = held_out_rates(spark, name, column, LARGE)
+    print(name, got)
+    assert got[0] >= precision > got[3] and got[1] >= recall and got[2] >= area
+
+
+@pytest.fixture(scope="module", params=["/root/testdata/sf0.01", LARGE])
+def lexicon_model(request, spark):
+    docs, labels = table(spark, request.param, "documents"), table(spark, request.param, "labels")
+    score = toxicity.fit(docs, labels).scorer()
+    texts = [r["text"] for r in docs.join(labels.where("toxic = 1"), "doc_id", "left_anti").where("length(text) between 100 and 1500").orderBy("doc_id").collect()]
+    return score, [t for t, s in zip(texts, score(texts)) if s < 0.5][:200]
+
+
+@pytest.mark.parametrize("right, wrong", [
+    (["idiot", "pathetic", "worthless"], ["idyot", "patheticc", "wortless"]), (["idiot", "moron"], ["idiiot", "moronn"]),
+    (["stupid"] * 4, ["stuppid"] * 4), (["stupid"], ["stuppid"])])
+def test_misspelled_terms_are_found_however_many_labels_there_are(lexicon_model, right, wrong):
+    score, clean = lexicon_model
+    draw = random.Random(7)
+
+    def flagged(words):
+        out = []
+        for text in clean:
+            tokens = text.split()
+            for word in words:
+                tokens.insert(draw.randrange(len(tokens) + 1), word)
+            out.append(" ".join(tokens))
+        return (score(out) >= 0.5).mean()
+
+    exact, other = flagged(right), flagged(wrong)
+    assert exact >= 0.9 and other >= 0.9 * exact, (exact, other)
+
+
+def test_clean_documents_are_left_alone(spark):
+    docs, labels = table(spark, LARGE, "documents"), table(spark, LARGE, "labels")
+    got = toxicity.toxicity(docs, labels).join(labels.where("toxic = 0"), "doc_id").where("held_out").collect()
+    assert len(got) > 500 and sum(r["predicted"] for r in got) <= 0.01 * len(got)
 
 
 def test_pages(spark):
