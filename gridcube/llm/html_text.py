@@ -9,9 +9,12 @@ likeliest is taken. Text of elements labelled main is put out block by block.
 
 No page comes with a label, so the trees learn from a bounded sample of the pages themselves, with
 semantic tags as teachers: what lies in article or main is main text, what lies in nav, footer,
-aside, form and the like, or bears a token that names such a part, is furniture. So that they do
+aside, form and the like, or bears a token that names such a part, is furniture. A page without article or main is taught by
+density instead: of what is neither furniture nor mostly links, the element that holds nearly all
+prose of the page, headings and paragraphs included, is main text. So that they do
 not only repeat the teacher, most lessons are given on changed copies: semantic tags renamed to
-plain ones, and menus, notices, forms and comments put in around and inside the main text.
+plain ones, menus, notices, forms and comments put in around and inside the main text, words
+wrapped in elements of all kinds, and the main text on its own.
 """
 
 from __future__ import annotations
@@ -29,16 +32,19 @@ from pyspark.sql import functions as F
 
 from gridcube.llm.common import small_batches
 
-FIT_PAGES = 240  # pages that the trees learn from
+FIT_PAGES = 240  # pages at most that the trees learn from
+FIT_BYTES = 16 << 20  # and their bytes together
 TREES, DEPTH, RATE, BINS = 30, 4, 0.3, 32
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math select button object".split())
+RAW = frozenset("script style textarea title template".split())  # what lies in them is no text of the page
+ONE_DEEP = frozenset("button select noscript iframe".split())  # never in themselves: without an end tag before the next one they are empty
+OUTSIDE = frozenset("html head body frameset base link meta script style template title".split())  # may lie outside a body
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4"
     " h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 MAIN_TAGS = frozenset(["article", "main"])
-FURNITURE_TAGS = frozenset(["nav", "footer", "aside", "form", "header", "head", "menu", "dialog", "fieldset", *RAW])
+FURNITURE_TAGS = frozenset(["nav", "footer", "aside", "form", "header", "head", "menu", "dialog", "fieldset", "button", "select", "iframe", "svg", *RAW])
 MAIN_TOKENS = frozenset("article content main post entry story body text page blog".split())
 FURNITURE_TOKENS = frozenset(
     "nav navbar navigation menu footer header sidebar side ad ads adv advert advertisement sponsor sponsored promo banner cookie cookies consent notice"
@@ -47,12 +53,15 @@ FURNITURE_TOKENS = frozenset(
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)),
-    "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",)),
+    "button": (("button",), ()), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",)),
 }
 # possessive, so that a stray quote or an unclosed tag costs one look ahead and no backtracking
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"(?:id|class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 TOKEN = re.compile(r"[A-Za-z]+")
+EDGES = {name: re.compile(rf"<(/?){name}(?=[\s/>])", re.I) for name in ONE_DEEP}
+WRAPS = ("b", "em", "span", "sup", "code", "math", "object", "noscript", "label", "u")  # put around words of copies that teach
+PROSE = HEADINGS | {"p", "pre", "blockquote", "ul", "ol", "dl", "figure"}  # kept whole when a page is taught by density
 
 CONTAINER, MAIN, FURNITURE = 0, 1, 2
 FEATURES = 26
@@ -70,6 +79,21 @@ class Page:
     def _parse(self, source: str) -> None:
         stack, at, block = [0], 0, 0
         tag, parent, texts = self.tag, self.parent, self.texts
+        ended: dict[str, set[int]] = {}  # where start tags end that their own end tag follows
+
+        def ends(name: str, start: int) -> bool:
+            if name not in ended:
+                edges = [(m.start(), bool(m[1])) for m in EDGES[name].finditer(source)]
+                ended[name] = {a for (a, closes), (_, after) in zip(edges, edges[1:]) if not closes and after}
+            return start in ended[name]
+
+        def body() -> None:
+            """Text and elements that no tag encloses lie in a body, as a browser has it."""
+            tag.append("body")
+            parent.append(0)
+            self.tokens.append(())
+            self.end.append(len(tag))
+            stack.append(len(tag) - 1)
 
         def pop_to(depth: int) -> None:
             while len(stack) > depth:
@@ -80,6 +104,8 @@ class Page:
             found = MARKUP.search(source, at)
             text = source[at : found.start() if found else size]
             if text and not text.isspace():
+                if len(stack) == 1:
+                    body()
                 texts.append((stack[-1], block, html.unescape(text) if "&" in text else text))
             elif text:
                 texts.append((stack[-1], block, " "))
@@ -121,6 +147,8 @@ class Page:
             tokens = ()
             if "=" in attributes:
                 tokens = tuple(t.lower() for m in ATTRIBUTE.finditer(attributes) for t in TOKEN.findall(m[1] or m[2] or m[3] or ""))
+            if len(stack) == 1 and name not in OUTSIDE:
+                body()
             number = len(tag)
             tag.append(name)
             parent.append(stack[-1])
@@ -134,6 +162,8 @@ class Page:
                 close = re.compile(f"</{name}\\s*>", re.I).search(source, at)
                 at = close.end() if close else size
                 continue
+            if name in ONE_DEEP and not ends(name, found.start()):
+                continue
             if not attributes.endswith("/") or name in BLOCK:
                 stack.append(number)
         pop_to(0)
@@ -194,7 +224,7 @@ class Page:
         ], axis=1)
 
     def teacher(self) -> np.ndarray:
-        """What semantic tags and tokens say of each element."""
+        """What semantic tags and tokens say of each element, or density where no tag says main."""
         n = len(self.tag)
         label = np.zeros(n, np.int64)
         for k in range(1, n):
@@ -203,8 +233,58 @@ class Page:
                 label[k] = FURNITURE
             elif above == MAIN or name in MAIN_TAGS:
                 label[k] = MAIN
+        return label if (label == MAIN).any() else self._by_density(label)
+
+    def _by_density(self, label: np.ndarray) -> np.ndarray:
+        """With what is mostly links as furniture too, and the densest element as main text.
+
+        From the root down, a child that holds most of the page's prose is entered unless a heading
+        or paragraph beside it would be left out; text kept whole, as in a paragraph, is not entered.
+        """
+        n = len(self.tag)
+        chars, linked = np.zeros(n), np.zeros(n)
+        in_link = np.zeros(n, bool)
+        for k in range(1, n):
+            in_link[k] = self.tag[k] == "a" or in_link[self.parent[k]]
+        for node, _, text in self.texts:
+            if label[node] != FURNITURE:
+                size = len(text.strip())
+                chars[node] += size
+                linked[node] += size * in_link[node]
+        chars, linked = self._below(chars), self._below(linked)
+        for k in range(1, n):
+            mostly_links = self.tag[k] not in ("html", "body", "a") and not in_link[k] and linked[k] > 0.5 * chars[k]
+            if label[self.parent[k]] == FURNITURE or mostly_links:
+                label[k] = FURNITURE
+        own = np.zeros(n)
+        for node, _, text in self.texts:
+            if label[node] != FURNITURE:
+                own[node] += len(text.strip())
+        prose = self._below(own)
+        children: list[list[int]] = [[] for _ in range(n)]
+        for k in range(1, n):
+            if label[k] != FURNITURE:
+                children[self.parent[k]].append(k)
+        holds = self._below(np.array([t in PROSE and x > 0 for t, x in zip(self.tag, prose)], float))
+        at = 0
+        while children[at]:
+            top = max(children[at], key=lambda k: prose[k])
+            beside = any(k != top and holds[k] for k in children[at]) or own[at] > 0.2 * prose[at]
+            whole = self.tag[top] not in BLOCK or self.tag[top] in PROSE
+            if self.tag[at] not in ("#root", "html") and (whole or beside or prose[top] < 0.6 * prose[at]):
+                break
+            at = top
+        if at and prose[at] > 0:
+            for k in range(at, self.end[at]):
+                label[k] = FURNITURE if label[k] == FURNITURE else MAIN
         return label
 
+    def _below(self, values: np.ndarray) -> np.ndarray:
+        """Sums over each element and all below it."""
+        sums = np.zeros(len(values) + 1)
+        np.cumsum(values, out=sums[1:])
+        return sums[np.array(self.end)] - sums[:-1]
+
     def decoded(self, main: np.ndarray, furniture: np.ndarray) -> np.ndarray:
         """The likeliest labelling in which furniture holds only furniture and main text holds no container."""
         n = len(self.tag)
@@ -300,7 +380,8 @@ class Trees:
 
 
 def changed(source: str, seed: int) -> list[str]:
-    """Copies of a page that teach: renamed tags, and furniture put in around and inside."""
+    """Copies of a page that teach: renamed tags, words wrapped in inline elements, furniture put in
+    around and inside, and the main text alone."""
     draw = random.Random(seed)
     words = re.findall(r"\w+", re.sub(r"<[^>]*>", " ", source))[:400] or ["x"]
 
@@ -324,7 +405,16 @@ def changed(source: str, seed: int) -> list[str]:
     rich = source
     for at in sorted(draw.sample(spots, min(len(spots), 4)), reverse=True):
         rich = rich[:at] + furniture() + rich[at:]
-    return [source, rich, renamed(rich, "main", "div"), rich.replace("<article>", f'<article class="{draw.choice(sorted(MAIN_TOKENS))}">')]
+    def wrapped(text: str) -> str:
+        spots = [m for m in re.finditer(r"(?<=[ >])[^\W\d_]+(?=[ .,<])", text)]
+        for m in sorted(draw.sample(spots, min(len(spots), 6)), key=lambda m: m.start(), reverse=True):
+            outer, inner = draw.choice(WRAPS), draw.choice(("", "<i>", "<mi>"))
+            text = f"{text[: m.start()]}<{outer}>{inner}{m[0]}{inner.replace('<', '</')}</{outer}>{text[m.end():]}"
+        return text
+
+    alone = re.search(r"<article\b.*</article>", source, re.S)
+    return [source, rich, wrapped(renamed(rich, "main", "div")), rich.replace("<article>", f'<article class="{draw.choice(sorted(MAIN_TOKENS))}">'),
+            *([wrapped(alone[0])] if alone else [])]
 
 
 class Model:
@@ -344,7 +434,7 @@ class Model:
 
 
 def learn(sources: list[str]) -> Model | None:
-    """Trees for main text and furniture; None where no page has a semantic tag to learn from."""
+    """Trees for main text and furniture; None where no page has text to learn from."""
     rows, labels = [], []
     for seed, source in enumerate(sources):
         for copy in changed(source, seed):
@@ -364,17 +454,29 @@ def learn(sources: list[str]) -> Model | None:
     return Model(Trees(x, (y == MAIN).astype(float)), Trees(x, (y == FURNITURE).astype(float)))
 
 
-def fit(pages: DataFrame, n: int = FIT_PAGES) -> Model | None:
-    """Learn from the ``n`` pages that come first by a hash of page_id."""
-    first = pages.select("page_id", "html").where("page_id is not null and html is not null").orderBy(F.xxhash64("page_id", F.lit("fit")), "page_id")
-    return learn([r["html"] for r in first.limit(n).collect()])  # a bounded sample
+def fit(pages: DataFrame, n: int = FIT_PAGES, most: int = FIT_BYTES) -> Model | None:
+    """Learn from the ``n`` pages that come first by a hash of page_id, as many of them as fit into
+    ``most`` bytes together. Only ids and sizes are sorted; of a repeated id one page counts."""
+    known = pages.select("page_id", "html").where("page_id is not null and html is not null")
+    sizes = known.groupBy("page_id").agg(F.max(F.octet_length("html")).alias("size"))
+    first = sizes.where(F.col("size") <= most).orderBy(F.xxhash64("page_id", F.lit("fit")), "page_id").limit(n)
+    chosen, room = [], most
+    for r in first.collect():
+        if r["size"] <= room:
+            chosen.append(r["page_id"])
+            room -= r["size"]
+    if not chosen:
+        return None
+    found = known.where(F.col("page_id").isin(chosen)).groupBy("page_id").agg(F.min("html").alias("html")).collect()
+    texts = {r["page_id"]: r["html"] for r in found}
+    return learn([texts[k] for k in chosen])
 
 
 def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages, from its whole html.
 
     A null html is an empty page; a page without main text gives the empty string. Where nothing
-    could be learned, because no sampled page has a semantic tag, no page has main text. Rows repeated
+    could be learned, because no sampled page has text in an element, no page has main text. Rows repeated
     get equal answers. No rows give no rows.
     """
     small_batches(pages.sparkSession)

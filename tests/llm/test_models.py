@@ -258,6 +258,50 @@ def test_main_text(spark):
     assert html_text.main_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def plain_page(k):
+    """(html, main text): no article or main anywhere."""
+    blocks = [prose(100 * k + n, 30) + "." for n in range(2 + k % 4)]
+    title = prose(k, 4)
+    source = (f"<html><head><title>t</title></head><body><div class='menu'><a href='/'>{prose(k, 2)}</a> <a>{prose(k + 1, 2)}</a></div>"
+              f"<div class='x'><h1>{title}</h1>" + "".join(f"<p>{b}</p>" for b in blocks) + f"</div><div class='footer'>{prose(k, 5)}</div></body></html>")
+    return source, "\n".join([title, *blocks])
+
+
+def bare_page(k):
+    blocks = [prose(9 * k + n, 20) + "." for n in range(3)]
+    return "<div>" * (k % 2) + "".join(f"<p>{b}</p>" for b in blocks), "\n".join(blocks)
+
+
+@pytest.mark.parametrize("make_page", [plain_page, bare_page])
+def test_main_text_without_semantic_tags(spark, make_page):
+    rows = [(k, "u", make_page(k)[0], "x", "x") for k in range(50)] + [(60, "u", "", "x", "x"), (61, "u", None, "x", "x")]
+    text = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert sum(text[k] == make_page(k)[1] for k in range(50)) >= 49 and text[60] == text[61] == ""
+
+
+def test_main_text_keeps_what_lies_in_rare_elements():
+    model = html_text.learn([page(k)[0] for k in range(90)])
+    long = prose(5, 60)
+    cases = {
+        "<p>a <math><mi>x</mi></math> b</p>": ["a x b"],
+        f"<p>one<button>Go<p>two {long}</p>": ["oneGo", f"two {long}"],  # no end tag: an empty button
+        f"<p>one</p><noscript><p>two {long}</p>": ["one", f"two {long}"],
+        f"<p>one</p><noscript><p>two {long}</p></noscript><p>three</p>": ["one", f"two {long}", "three"],
+        "<p>one</p><script>if (a<b) '</p>'</script><style>p {}</style><textarea>q</textarea><p>two</p>": ["one", "two"],
+        f"<p>one<br>more</p><object><p>two {long}</p></object>": ["one more", f"two {long}"],
+    }
+    for source, lines in cases.items():
+        assert model.texts([f"<article><p>{long}</p>{source}</article>"]) == ["\n".join([long, *lines])], source
+
+
+def test_pages_to_learn_from_are_bounded_and_repeated_ids_count_once(spark):
+    rows = [(7, "u", page(1)[0], "x", "x")] * 300 + [(k, "u", page(k)[0], "x", "x") for k in range(10, 40)] + [(50, "u", "<p>" + "x " * 40_000, "x", "x")]
+    pages = spark.createDataFrame(rows, PAGES)
+    assert html_text.fit(pages, most=60_000) is not None and html_text.fit(pages, most=10) is None
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
+    assert sum(got[k] == page(k)[1] for k in range(10, 40)) >= 29
+
+
 def test_decoding_is_the_best_consistent_labelling():
     import itertools
     import math
