@@ -207,12 +207,13 @@ def exact_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
 def without_copies(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     """Whole rows of documents, one per distinct text: that of the largest doc_id, and one of
     them where it is repeated."""
-    found = classes(docs, budget).select(
-        F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"), F.col("ties").alias("_ties"))
-    own = docs.withColumn("_digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-    hit = own.join(found, (own["_digest"] == found["_digest"]) & own["doc_id"].eqNullSafe(found["_keep"])).drop(found["_digest"])
-    single, tied = hit.where("_ties = 1"), hit.where("_ties > 1").dropDuplicates(["_digest"])
-    return single.union(tied).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = classes(docs, budget).select("digest", "keep_id", "ties")
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"),
+        F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("digest"))
+    hit = own.join(found, "digest").where(F.col("own_id").eqNullSafe(F.col("keep_id")))
+    single, tied = hit.where("ties = 1"), hit.where("ties > 1").dropDuplicates(["digest"])
+    return single.union(tied).select("row.*")
 
 
 ORACLE = """

@@ -4,12 +4,16 @@ For each language a suffix automaton is built over a bounded sample of labelled
 is parsed against each automaton into the longest pieces that occur in the sample; the language
 that needs the fewest pieces per character wins. No suffix link is followed while parsing: a piece
 ends where the automaton has no transition, and the next one starts at its root with the same
-character. That makes a parse a walk through one table, (state, letter) -> (state, piece ended),
-which numpy walks for many text segments and all languages at once.
+character. That makes a parse a walk (state, letter) -> (state, piece ended), which numpy walks
+for many stretches of text at once. Transitions lie in displaced rows: a state's edges start at a
+place of their own in one array, among the gaps of others', so memory grows with the samples and
+not with states times letters.
 
-Whole texts are parsed: a text is cut into segments of equal length that are walked side by side,
-and the pieces of all its segments count. What Spark ships is the sample, a few hundred thousand
-characters per language; workers build the tables from it once.
+Whole texts are parsed, from their first letter on. A long text is walked in segments side by side,
+each as if a piece began there; then the segments whose predecessor ended in another state are
+walked again from that state, until they meet the walk already made, from where on both are the
+same. So the pieces are those of one walk through the text, whatever its length. What Spark ships
+is the sample, at most ``SAMPLE_CHARS`` per language; workers build the tables from it once.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ SAMPLE_ROWS = 200  # labelled rows per language at most
 SAMPLE_CHARS = 30_000  # characters of sample per language at most
 ROW_CHARS = 3_000  # and of one row in it, so that no single document is the language
 FOLDS, HELD_OUT = 4, 2
-SEGMENT = 256  # characters walked in one lane
+SEGMENT = 256  # letters walked in one lane
 LANES = 16_384
 TEMPERATURE = 40.0
 
@@ -52,11 +56,11 @@ def _is_letter(points: np.ndarray) -> np.ndarray:
     small = points < len(_plane)
     out = _plane[np.where(small, points, 0)]
     if not small.all():
-        for c in np.unique(points[~small]).tolist():
+        distinct, at = np.unique(points[~small], return_inverse=True)
+        for c in distinct.tolist():
             if c not in _flags:
                 _flags[c] = chr(c).isalpha()
-            if _flags[c]:
-                out = out | (points == c)
+        out[~small] = np.array([_flags[c] for c in distinct.tolist()], np.bool_)[at]
     return out
 
 
@@ -90,56 +94,82 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+class Rows:
+    """Transitions of one automaton as displaced rows: an edge (state, letter) lies at
+    ``base[state] + letter``, where ``owner`` names its state."""
+
+    def __init__(self, moves: list[dict[int, int]], width: int):
+        self.alone = len(moves)  # the state after a letter that the sample lacks, a piece of its own
+        size = 2 * sum(map(len, moves)) + 64
+        owner = np.full(size + width, -1, np.int32)
+        target = np.zeros(size + width, np.int32)
+        base = np.zeros(self.alone + 1, np.int32)
+        single: list[int] = []
+        for state in sorted(range(len(moves)), key=lambda s: -len(moves[s])):
+            own = moves[state]
+            if len(own) < 2:
+                if own:
+                    single.append(state)
+                continue
+            letters = np.fromiter(own.keys(), np.int64, len(own))
+            at = state * 40503 % size
+            for _ in range(200):
+                if (owner[at + letters] < 0).all():
+                    break
+                at = (at * 5 + 7919) % size
+            else:  # no gap found: a row at the end
+                at = len(owner)
+                owner = np.concatenate([owner, np.full(width, -1, np.int32)])
+                target = np.concatenate([target, np.zeros(width, np.int32)])
+            base[state] = at
+            owner[at + letters] = state
+            target[at + letters] = np.fromiter(own.values(), np.int64, len(own))
+        letters = np.array([next(iter(moves[s])) for s in single], np.int64)
+        free = np.flatnonzero(owner[width:] < 0)[: len(single)] + width  # so that no base is negative
+        base[single] = free - letters
+        owner[free] = single
+        target[free] = [next(iter(moves[s].values())) for s in single]
+        # any state may ask for any letter
+        self.base, self.owner, self.target = base, np.append(owner, np.full(width, -1, np.int32)), np.append(target, np.zeros(width, np.int32))
+        self.restart = np.full(width, self.alone, np.int32)
+        self.restart[list(moves[0].keys())] = list(moves[0].values())
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """2 * next state, plus 1 where a piece ended before the letter. Nothing comes back to
+        state 0: no piece ends where a text starts."""
+        at = self.base[state] + letter
+        ended = self.owner[at] != state
+        return np.where(ended, self.restart[letter], self.target[at]) * 2 + (ended & (state > 0))
+
+
 class Parser:
-    """One transition table for all languages. Bit 0 of an entry says that a piece ended."""
+    """One automaton per language over a common alphabet."""
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         text = {lang: letters_of(samples[lang]) for lang in self.languages}
-        alphabet = np.unique(np.concatenate([np.array([32], np.uint32), *text.values()]))
-        self.alphabet = alphabet
-        width = self.width = len(alphabet) + 1  # the last letter stands for all unknown ones
-        parts, self.roots, at = [], [], 0
-        for lang in self.languages:
-            moves = suffix_automaton(np.searchsorted(alphabet, text[lang]).tolist())
-            alone = len(moves)  # the state after a letter that the sample lacks, a piece of its own
-            table = np.full((alone + 1, width), -1, np.int32)
-            for state, own in enumerate(moves):
-                if own:
-                    table[state, list(own.keys())] = list(own.values())
-            ended = table < 0
-            restart = np.where(ended[0], alone, table[0])
-            table = np.where(ended, restart[None, :], table)
-            ended[0] = False  # nothing comes back to the root: no piece ends where a segment starts
-            parts.append((table + at) * 2 + ended)
-            self.roots.append(at)
-            at += alone + 1
-        self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
-
-    def pieces(self, texts: list[np.ndarray]) -> np.ndarray:
+        self.alphabet = np.unique(np.concatenate([np.array([32], np.uint32), *text.values()]))
+        self.width = len(self.alphabet) + 1  # the last letter stands for all unknown ones
+        self.rows = [Rows(suffix_automaton(np.searchsorted(self.alphabet, text[lang]).tolist()), self.width) for lang in self.languages]
+
+    def pieces(self, texts: list[np.ndarray], segment: int = SEGMENT, lanes: int = LANES) -> np.ndarray:
         """Pieces per text and language."""
         out = np.zeros((len(texts), len(self.languages)))
-        spans = [(k, a) for k, t in enumerate(texts) for a in range(0, len(t), SEGMENT)]
-        spans.sort(key=lambda s: -min(SEGMENT, len(texts[s[0]]) - s[1]))
-        for first in range(0, len(spans), LANES):
-            part = spans[first : first + LANES]
-            grid = np.full((SEGMENT, len(part)), 0, np.int32)
-            lengths = np.empty(len(part), np.int64)
+        spans = [(k, a) for k, t in enumerate(texts) for a in range(0, len(t), segment)]
+        carried = [0] * len(self.rows)  # where the last lane's text goes on with the next lot of lanes
+        for first in range(0, len(spans), lanes):
+            part = spans[first : first + lanes]
+            owner = np.array([k for k, _ in part])
+            goes_on = np.array([a > 0 for _, a in part])
+            lengths = np.array([min(segment, len(texts[k]) - a) for k, a in part])
+            grid = np.zeros((segment, len(part)), np.int32)
             for lane, (k, a) in enumerate(part):
-                own = texts[k][a : a + SEGMENT]
-                lengths[lane] = len(own)
-                grid[: len(own), lane] = own
+                grid[: lengths[lane], lane] = texts[k][a : a + segment]
             grid = self._coded(grid)
-            owner = np.array([k for k, _ in part])
-            for n, root in enumerate(self.roots):
-                state = np.full(len(part), root * 2, np.int32)
-                count = np.ones(len(part), np.int32)  # the piece that the segment's end cuts off
-                for step in range(int(lengths[0])):
-                    live = len(part) if lengths[-1] > step else int(np.searchsorted(-lengths, -step, "left"))
-                    entry = self.table[(state[:live] >> 1) * self.width + grid[step, :live]]
-                    count[:live] += entry & 1
-                    state[:live] = entry
-                np.add.at(out[:, n], owner, count)
+            for n, rows in enumerate(self.rows):
+                ended, last = _walked(rows, grid, lengths, goes_on, carried[n])
+                np.add.at(out[:, n], owner, ended + ~goes_on)  # and the piece that the text's end cuts off
+                carried[n] = last
         return out
 
     def _coded(self, points: np.ndarray) -> np.ndarray:
@@ -147,6 +177,43 @@ class Parser:
         return np.where(self.alphabet[np.minimum(at, len(self.alphabet) - 1)] == points, at, self.width - 1).astype(np.int32)
 
 
+def _walked(rows: Rows, grid: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray, before: int) -> tuple[np.ndarray, int]:
+    """Pieces ended per lane, and the last lane's final state. Lanes that go on start where the
+    lane before them ends; ``before`` is where the one before the first ended."""
+    made = np.zeros(grid.shape, np.int32)  # what each step gave
+    order = np.argsort(-lengths, kind="stable")
+    falling = lengths[order]
+    state = np.zeros(len(lengths), np.int32)
+    if goes_on[0]:
+        state[0] = before
+    started = state.copy()
+    walk = state[order]
+    for step in range(int(falling[0])):
+        live = int(np.searchsorted(-falling, -step, "left"))
+        lane = order[:live]
+        entry = rows.step(walk[:live], grid[step, lane])
+        made[step, lane] = entry
+        walk[:live] = entry >> 1
+    lanes = np.arange(len(lengths))
+    while True:
+        final = made[lengths - 1, lanes] >> 1
+        wanted = np.where(goes_on, np.concatenate([[before], final[:-1]]), 0)
+        again = np.flatnonzero(wanted != started)
+        if not len(again):
+            break
+        started[again] = wanted[again]
+        walk = wanted[again].astype(np.int32)
+        step = 0
+        while len(again):
+            entry = rows.step(walk, grid[step, again])
+            met = (entry >> 1) == (made[step, again] >> 1)
+            made[step, again] = entry
+            step += 1
+            on = ~met & (lengths[again] > step)
+            again, walk = again[on], entry[on] >> 1
+    return (made & 1).sum(axis=0), int(final[-1])
+
+
 def parser(samples: dict[str, str]) -> Parser:
     """One per worker process and sample."""
     key = hash(tuple(sorted(samples.items())))

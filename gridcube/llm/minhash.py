@@ -271,9 +271,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
 def without_near_copies(docs: DataFrame, **settings) -> DataFrame:
     """Whole rows of documents, one per component: that of the smallest doc_id. Documents
     without words and rows without doc_id stay."""
-    stay = near_duplicates(docs, **settings).where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.join(stay, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = near_duplicates(docs, **settings).where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"))
+    return rows.join(gone, F.col("own_id") == F.col("gone"), "left_anti").select("row.*")
 
 
 ORACLE = r"""

@@ -29,13 +29,33 @@ HELD_OUT = 5
 THRESHOLD = 0.3
 
 CLASSES = 16
-_class_of = np.full(0x3000, 15, np.uint8)
-for _c in range(0x3000):
-    _s = chr(_c)
-    _class_of[_c] = (
-        1 if _s.islower() and _c < 128 else 2 if _s.isupper() else 3 if _s.isdigit() else 4 if _s == "\n" else 5 if _s.isspace()
-        else 6 if _s.isalpha() else 7 if _s == "." else 8 if _s == "," else 9 if _s in "!?" else 10 if _s in "|=_-" else 11 if _s in "#*~^"
-        else 12 if _s in "&%$@" else 13 if _s in "'\"()[]:;" else 14 if _s in "<>{}/\\" else 15)
+
+
+def _class(c: int) -> int:
+    s = chr(c)
+    return (
+        1 if s.islower() and c < 128 else 2 if s.isupper() else 3 if s.isdigit() else 4 if s == "\n" else 5 if s.isspace()
+        else 6 if s.isalpha() else 7 if s == "." else 8 if s == "," else 9 if s in "!?" else 10 if s in "|=_-" else 11 if s in "#*~^"
+        else 12 if s in "&%$@" else 13 if s in "'\"()[]:;" else 14 if s in "<>{}/\\" else 15)
+
+
+_near = np.array([_class(c) for c in range(0x3000)], np.uint8)
+_far: dict[int, int] = {}  # code points beyond, once seen: at most as many as Unicode has
+
+
+def classes_of(points: np.ndarray) -> np.ndarray:
+    """The class of every code point, by the same rule for all scripts."""
+    near = points < len(_near)
+    out = _near[np.where(near, points, 0)]
+    if not near.all():
+        distinct, at = np.unique(points[~near], return_inverse=True)
+        for c in distinct.tolist():
+            if c not in _far:
+                _far[c] = _class(c)
+        out[~near] = np.array([_far[c] for c in distinct.tolist()], np.uint8)[at]
+    return out
+
+
 GRAMS = CLASSES**3
 EXTRA = 64  # places after the class triples
 
@@ -44,7 +64,7 @@ def counts(text: str | None) -> np.ndarray:
     """Term counts of a whole text."""
     text = text or ""
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    kinds = _class_of[np.minimum(points, len(_class_of) - 1)].astype(np.int64)
+    kinds = classes_of(points).astype(np.int64)
     out = np.zeros(GRAMS + EXTRA)
     if len(kinds) > 2:
         out[:GRAMS] = np.bincount((kinds[:-2] * CLASSES + kinds[1:-1]) * CLASSES + kinds[2:], minlength=GRAMS)

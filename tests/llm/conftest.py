@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import types as T
 
-CLASH = ["label", "score", "hash", "component", "size", "row", "keep_id", "digest", "n", "rank", "_digest"]
+CLASH = ["label", "score", "hash", "component", "size", "row", "keep_id", "digest", "n", "rank", "_digest",
+         "_keep", "_ties", "_gone", "own_id", "gone", "ties"]
 SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
      T.StructField("source", T.StringType())] + [T.StructField(c, T.StringType()) for c in CLASH])

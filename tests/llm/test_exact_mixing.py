@@ -88,6 +88,7 @@ def test_without_copies_keeps_one_row_per_text(docs, make):
     got = [(r["doc_id"], r["text"] or "") for r in rows.collect()]
     wanted = {text: max((i for i in ids if i is not None), default=None) for text, ids in groups(awkward()).items()}
     assert Counter(got) == Counter((i, t) for t, i in wanted.items())
+    assert {tuple(r) for r in rows.collect()} <= {tuple(r) for r in docs.collect()}
     assert exact.without_copies(make([])).count() == 0 and exact.exact_duplicates(make([])).count() == 0
 
 

@@ -25,19 +25,32 @@ def longest_pieces(text, sample):
     return pieces
 
 
-def test_pieces_are_the_longest_matches():
-    sample = {"aa": prose(1, 60, PARTS["aa"]), "bb": prose(2, 60, PARTS["bb"])}
+def ideographs(seed, n, first, span=1000):
+    draw = random.Random(seed)
+    return "".join(chr(first + int(span * draw.random() ** 3)) if draw.random() < 0.95 else " " for _ in range(n))
+
+
+@pytest.mark.parametrize("segment, lanes", [(language.SEGMENT, language.LANES), (7, 5), (64, 3)])
+def test_pieces_are_the_longest_matches_of_the_whole_text(segment, lanes):
+    sample = {"aa": prose(1, 60, PARTS["aa"]), "bb": prose(2, 60, PARTS["bb"]), "zh": ideographs(3, 900, 0x4E00)}
     parser = language.Parser(sample)
-    texts = [prose(9, 20, PARTS["aa"]), prose(8, 15, PARTS["bb"]), "zz9 qq", "b", "ba ba"]
+    texts = [prose(9, 20, PARTS["aa"]), "", prose(8, 15, PARTS["bb"]), "zz9 qq", "b", "ba ba", ideographs(5, 300, 0x4E00),
+             sample["aa"] * 3, prose(7, 2000, PARTS["aa"]), ideographs(6, 10_000, 0x4E00), "日" * 700]
     codes = [language.letters_of(t) for t in texts]
-    got = parser.pieces(codes)
-    for row, text in zip(got, texts):
-        letters = "".join(map(chr, language.letters_of(text)))
-        assert len(letters) < language.SEGMENT
+    assert max(map(len, codes)) >= 9_000
+    got = parser.pieces(codes, segment, lanes)
+    for row, own in zip(got, codes):
+        letters = "".join(map(chr, own))
         for n, lang in enumerate(parser.languages):
             assert row[n] == longest_pieces(letters, "".join(map(chr, language.letters_of(sample[lang]))))
 
 
+def test_automata_of_many_letters_stay_small():
+    parser = language.Parser({f"l{k}": ideographs(k, language.SAMPLE_CHARS, 0x4E00 + 3000 * k, 2500) for k in range(5)})
+    assert parser.width > 8_000
+    assert sum(a.nbytes for r in parser.rows for a in (r.base, r.owner, r.target, r.restart)) < 50 << 20
+
+
 def test_languages_held_out(make):
     rows = [(k, prose(k, 5 + k % 60, PARTS[lang]), lang, None) for k in range(300) for lang in [random.Random(k).choice(sorted(PARTS))]]
     rows += [(1000, None, "aa", None), (1001, "", "aa", None), (1002, "12 ! 日"[:4], "aa", None), (1003, None, None, None), (None, "ba lo mi", "aa", None)]
@@ -187,6 +200,28 @@ def test_weights_of_hits_keep_their_order():
 
 # quality
 
+@pytest.mark.parametrize("first", [0x4E00, 0xAC00, 0x400])
+def test_quality_in_any_script(make, spark, first):
+    def text(k):
+        draw = random.Random(k)
+        clean = " ".join("".join(chr(first + 0x30 + draw.randrange(32)) for _ in range(draw.randint(2, 5))) for _ in range(60))
+        return clean if k % 3 else "".join(c if draw.random() < 0.6 else chr(0x1F300 + draw.randrange(200)) for c in clean)
+
+    rows = [(k, text(k), None, None) for k in range(300)]
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(300)], LABELS)
+    got = {r["doc_id"]: r for r in quality.quality(make(rows), labels).collect()}
+    held = [k for k in got if got[k]["held_out"]]
+    assert len(held) > 30 and sum(got[k]["predicted"] == int(k % 3 > 0) for k in held) >= 0.97 * len(held)
+
+
+def test_classes_go_by_the_sign_and_not_by_its_number():
+    import numpy as np
+
+    signs = "aé日한я😀9٣。ー漢\u3000"
+    got = quality.classes_of(np.array([ord(c) for c in signs], np.uint32)).tolist()
+    assert got == [1, 6, 6, 6, 6, 15, 3, 3, 15, 6, 6, 5]
+
+
 def test_quality_held_out(make, spark):
     def text(k):
         clean = prose(k, 40 + k % 50)

@@ -97,6 +97,7 @@ def test_an_id_with_two_texts_has_the_links_of_both(make):
 def test_without_near_copies(docs, make):
     out = minhash.without_near_copies(docs)
     assert out.columns == docs.columns
+    assert {tuple(r) for r in out.collect()} <= {tuple(r) for r in docs.collect()}
     stay = [r[0] for r in near_reference(awkward(), 5, 80) if r[3] or r[0] is None]
     assert sorted(map(repr, (r["doc_id"] for r in out.collect()))) == sorted(map(repr, stay))
     assert minhash.near_duplicates(make([])).count() == 0

@@ -157,3 +157,16 @@ def test_stages_keep_the_columns(spark):
     docs = table(spark, FOLDER, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, FOLDER).columns == docs.columns
+
+
+def test_stages_on_awkward_and_empty_documents(spark, docs, make):
+    """Nulls in any column, empty and white texts, repeated rows, clashing columns: one stage after another."""
+    for rows in (docs, make([])):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, rows, FOLDER)
+            assert out.columns == docs.columns
+            assert {tuple(r) for r in out.collect()} <= {tuple(r) for r in rows.collect()}
+            rows = out
+        left = Counter((r["doc_id"], r["text"] or "") for r in rows.collect())
+        got = corpus_pipeline.STAGES[-1][1](spark, rows, FOLDER).collect()
+        assert Counter(r["doc_id"] for r in got if r["piece"] == 0) == Counter(d for d, _ in left.elements())
