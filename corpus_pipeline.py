@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; whoever runs the stages writes each
 result as Parquet and reads it again as the next one's docs. All but the last return the columns
-of documents.
+of documents, extra ones included, whatever their names.
+
+A null text counts as empty. Of all empty texts one row stays after exact deduplication, and it is packed as one
+token. Rows without doc_id pass as documents without a name: the exact stage keeps one only where no row of
+its text has an id, the near stage leaves them, and their draws are alike. A null source is a source of its own. A row
+repeated with its doc_id is the same document: one of them stays. Tables without rows give no rows, and without
+labels of both classes nothing is toxic.
 """
 
 from __future__ import annotations
@@ -49,6 +55,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows: doc_id, piece and place of every piece of every document taken."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         out = fresh_dir(spark, f"pipeline-{name}")
