@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridcube.catalog.registry import query
 from gridcube.functions import grid, text
-from gridcube.operators import chunks, merge, ordering
+from gridcube.operators import axes, chunks, merge, ordering
 from gridcube.sources.tables import (
     EVENTS_SQL, SHIP_START, event_cells, table,
 )
@@ -59,7 +59,9 @@ def locate_timestep(spark, folder):
       coalesce(d.f, CASE WHEN n_steps < (SELECT count(*) FROM r) THEN n_steps END) AS first_difference
     FROM n LEFT JOIN d ON n.variable = d.variable""")
 def axis_first_difference(spark, folder):
-    return merge.axis_against_reference(_axis(spark, folder), "date", "A")
+    axis = _axis(spark, folder).withColumn("days", grid.day_number(F.col("date")))
+    names = [r.variable for r in axis.select("variable").distinct().collect()]  # the family
+    return axes.against_reference(axes.runs(axis, ["variable"]), names, "A")
 
 
 @query("J5 V3", f"""WITH {AXIS_SQL}, x AS (SELECT idx, max(CASE WHEN variable = 'A' THEN date END) AS a,

@@ -10,8 +10,10 @@ from gridcube.catalog.registry import query
 from gridcube.functions import grid, text
 from gridcube.functions.fixed import BLOCK_PATTERN, LAYOUT_ATTRS, REQUIRED_ATTRS
 from gridcube.functions.names import NameKey
-from gridcube.operators import attrs, chunks, lineage, merge
+from gridcube.operators import attrs, axes, chunks, lineage, merge
+from gridcube.session import cut_lineage, fresh_dir
 from gridcube.sources.tables import EVENTS_SQL, event_cells, table
+from gridcube.streaming.guard import guard_stream
 
 
 @query("S16 A8 P11", f"WITH {CHUNK_SQL} SELECT variable, ct, ci, cj, n_valid, nbytes FROM manifest")
@@ -94,6 +96,20 @@ def absent_days(spark, folder):
     return merge.missing_from(expected, present, ["variable", "t"])
 
 
+@query("J8 W2", f"""WITH {_GAP_SQL}, holey AS (SELECT DISTINCT variable, t FROM gappy WHERE t % 11 <> 2 AND NOT (variable = 'click' AND t < 3)),
+    g AS (SELECT min(t) AS a, max(t) AS b FROM gappy),
+    e AS (SELECT variable, unnest(range((SELECT a FROM g), (SELECT b + 1 FROM g))) AS t FROM (SELECT DISTINCT variable FROM holey)),
+    l AS (SELECT variable, t, t - row_number() OVER (PARTITION BY variable ORDER BY t) AS k FROM e ANTI JOIN holey USING (variable, t))
+    SELECT variable, min(t) AS first, max(t) AS last, count(*) AS n_steps FROM l GROUP BY variable, k""")
+def absent_runs(spark, folder):
+    """What an axis with holes, a late start and an early end lacks of the record, as ranges."""
+    gappy = _gappy(spark, folder)
+    ends = gappy.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    present = gappy.where("t % 11 <> 2 and not (variable = 'click' and t < 3)").select("variable", "t").distinct()
+    found = axes.runs(present.withColumn("idx", F.col("t")), ["variable"], "t")
+    return axes.absent(found, ends.a, ends.b)
+
+
 @query("J9 A9", f"""WITH {EVENTS_SQL}, w AS (SELECT DISTINCT variable, i // 6 AS ci, j AS cj FROM cells WHERE NOT (variable = 'click' AND i // 6 = 2 AND j % 2 = 0)),
     g AS (SELECT min(t) AS a, max(t) AS b FROM cells),
     e AS (SELECT DISTINCT variable, i // 6 AS ci, j AS cj FROM cells, g WHERE t IN (a, (a + b) // 2, b))
@@ -347,3 +363,39 @@ def unreachable_objects(spark, folder):
     return lineage.unreachable(objects, kept).groupBy("conv_id", "turn").agg(
         F.sum(F.length("text")).alias("n_chars")
     )
+
+
+_TOLD_SQL = EVENTS_SQL + """, told AS (
+      SELECT DISTINCT variable, t AS days, CASE WHEN variable = 'view' AND t = 12 THEN t // 5 + 1 WHEN variable = 'error' AND t = 0 THEN 2 ELSE t // 5 END AS part FROM cells
+      UNION ALL SELECT DISTINCT variable, t, t // 5 + 1 FROM cells WHERE t % 7 = 3 OR (variable = 'view' AND t IN (13, 14)))"""
+
+
+@query("S14 W2", f"""WITH RECURSIVE {_TOLD_SQL}, b AS (SELECT variable, part, list(days) AS l FROM told GROUP BY 1, 2),
+      f AS (SELECT variable, arg_min(list_min(l), part) AS first, min(part) AS p0 FROM b GROUP BY 1),
+      parts AS (SELECT v.variable, v.first, p.part, coalesce(b.l, []) AS l, v.p0 FROM f v JOIN (SELECT DISTINCT part FROM b) p ON p.part >= v.p0
+        LEFT JOIN b ON b.variable = v.variable AND b.part = p.part),
+      state AS (
+        SELECT variable, p0 AS part, first AS expected FROM f
+        UNION ALL
+        SELECT s.variable, s.part + 1, list_min(list_filter(range(s.expected, s.expected + len(p.l) + 1), lambda d: NOT list_contains(p.l, d)))
+        FROM state s JOIN parts p ON p.variable = s.variable AND p.part = s.part),
+      j AS (SELECT t.variable, t.part, t.days, s.expected AS e0, n.expected AS e1, p.first,
+          row_number() OVER (PARTITION BY t.variable, t.part, t.days) AS again FROM told t
+        JOIN state s ON s.variable = t.variable AND s.part = t.part JOIN state n ON n.variable = t.variable AND n.part = t.part + 1
+        JOIN f p ON p.variable = t.variable)
+    SELECT variable, part, days, CASE WHEN days < first THEN 'late' WHEN days < e0 OR (days < e1 AND again > 1) THEN 'doubled' ELSE 'early' END AS verdict
+    FROM j WHERE NOT (days >= e0 AND days < e1 AND again = 1)""")
+def stream_refusals(spark, folder):
+    """Days of all variables arrive in parts, some of them late, early or twice; one stream for the
+    family says which it refuses. Each part is one file and one micro-batch."""
+    cells = event_cells(spark, folder).select("variable", F.col("t").alias("days")).distinct()
+    part = F.expr("days div 5")
+    moved = F.when(F.expr("variable = 'view' and days = 12"), part + 1).when(F.expr("variable = 'error' and days = 0"), F.lit(2)).otherwise(part)
+    again = cells.where("days % 7 = 3 or (variable = 'view' and days in (13, 14))").withColumn("part", part + 1)
+    told = cut_lineage(cells.withColumn("part", moved).unionByName(again))
+    root = fresh_dir(spark, "guard")
+    for r in told.select("part").distinct().orderBy("part").collect():  # the days of a record by fives
+        told.where(F.col("part") == r.part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(told.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    guard_stream(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").where("verdict <> 'accepted'").select("variable", "part", "days", "verdict")

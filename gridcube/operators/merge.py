@@ -113,27 +113,6 @@ def axis_positions(labels: DataFrame, label: str) -> DataFrame:
     )
 
 
-def axis_against_reference(axes: DataFrame, label: str, reference: str) -> DataFrame:
-    """Per variable: its length, the reference's, and the first differing index."""
-    base = axes.where(F.col("variable") == reference).select("idx", F.col(label).alias("_ref"))
-    lengths = axes.groupBy("variable").agg(F.count(F.lit(1)).alias("n_steps"))
-    n_reference = base.count()
-    differing = (
-        axes.join(base, "idx", "left")
-        .where(~F.col(label).eqNullSafe(F.col("_ref")))
-        .groupBy("variable")
-        .agg(F.min("idx").alias("_first"))
-    )
-    short = F.when(F.col("n_steps") < n_reference, F.col("n_steps"))
-    return (
-        lengths.join(differing, "variable", "left")
-        .select(
-            "variable", "n_steps", F.lit(n_reference).cast("long").alias("n_reference"),
-            F.coalesce(F.col("_first"), short).cast("long").alias("first_difference"),
-        )
-    )
-
-
 def coordinates_equal(left: DataFrame, right: DataFrame, on: Sequence[str], label: str) -> DataFrame:
     """Per axis: do two coordinate tables hold the same labels in the same places?"""
     a = left.select(*on, F.col(label).alias("_a"), F.lit(True).alias("_here"))

@@ -14,6 +14,7 @@ from gridcube.functions.fixed import (
     BATCH_MESSAGE, BLOCK_MESSAGE, BLOCK_PATTERN, CALENDAR, SKELETON_MESSAGE, TIME_UNITS,
 )
 from gridcube.functions.grid import block, day_date
+from gridcube.operators import axes
 from gridcube.plans.store import Store
 from gridcube.session import side_by_side
 from gridcube.sources.raw import RawVariable, axis_disagreement
@@ -100,7 +101,9 @@ def derived_attrs(dims: DataFrame) -> dict:
 
 
 def differing_labels(stored: DataFrame, wanted: DataFrame, label: str) -> bool:
-    """Whether two (idx, label) tables differ anywhere."""
+    """Whether two (idx, label) tables differ anywhere. Days are compared by their runs."""
+    if label == "days":
+        return not axes.unlike_runs(stored, wanted).isEmpty()
     other = wanted.select("idx", F.col(label).alias("_want"), F.lit(True).alias("_there"))
     rows = stored.withColumn("_here", F.lit(True)).join(other, "idx", "full_outer")
     wrong = F.col("_here").isNull() | F.col("_there").isNull() | ~F.col(label).eqNullSafe(F.col("_want"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from gridcube.config import GridConfig
 from gridcube.fs import SharedFs
 from gridcube.functions.grid import decoded
+from gridcube.operators import axes
 from gridcube.sources.footers import footers, listed, reachable
 
 SCHEMA = "local_t INT, days BIGINT, i INT, j INT, lat DOUBLE, lon DOUBLE, value FLOAT"
@@ -212,10 +213,9 @@ def axis_disagreement(variable: RawVariable, reference: RawVariable) -> str | No
             f"{variable.name!r} has {variable.n_steps} steps and {reference.name!r} has "
             f"{reference.n_steps}; the download may be incomplete"
         )
-    theirs = reference.axis().withColumnRenamed("days", "_ref")
-    first = (
-        variable.axis().join(theirs, "idx").where("days <> _ref").agg(F.min("idx").alias("at")).first().at
-    )
+    both = [v.axis().select(F.lit(v.name).alias("variable"), "idx", "days") for v in (variable, reference)]
+    found = axes.against_reference(axes.runs(both[0].unionByName(both[1]), ["variable"]), [variable.name], reference.name)
+    first = found.first().first_difference
     if first is None:
         return None
     return (
