@@ -370,7 +370,7 @@ _TOLD_SQL = EVENTS_SQL + """, told AS (
       UNION ALL SELECT DISTINCT variable, t, t // 5 + 1 FROM cells WHERE t % 7 = 3 OR (variable = 'view' AND t IN (13, 14)))"""
 
 
-@query("S14 W2", f"""WITH RECURSIVE {_TOLD_SQL}, b AS (SELECT variable, part, list(days) AS l FROM told GROUP BY 1, 2),
+@query("W2", f"""WITH RECURSIVE {_TOLD_SQL}, b AS (SELECT variable, part, list(days) AS l FROM told GROUP BY 1, 2),
       f AS (SELECT variable, arg_min(list_min(l), part) AS first, min(part) AS p0 FROM b GROUP BY 1),
       parts AS (SELECT v.variable, v.first, p.part, coalesce(b.l, []) AS l, v.p0 FROM f v JOIN (SELECT DISTINCT part FROM b) p ON p.part >= v.p0
         LEFT JOIN b ON b.variable = v.variable AND b.part = p.part),
