@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from gridcube.catalog import storing
 from gridcube.catalog.all import REGISTRY
 from gridcube.config import GridConfig
 from gridcube.operators import lineage
@@ -40,6 +41,22 @@ def test_records_of_any_length(spark, two_months, name):
     assert mine == sorted((tuple(r[p] for p in places) for r in other.fetchall()), key=repr) and mine
 
 
+def test_a_wide_grid_is_filled_in_pieces(spark, tmp_path, monkeypatch):
+    """Raw files of large planes are filled by many tasks, a day or some rows of one each."""
+    monkeypatch.setattr(storing, "FILE_CELLS", 10_000)
+    duckdb.sql(f"""copy (select event_id, ts, user_id * 1400 + 7 as user_id, event_type, value, props from '{EVENTS}'
+) to '{tmp_path}/events.parquet' (format parquet)""")
+    duck = duckdb.connect()
+    duck.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    frame = REGISTRY["append_store"].run(spark, str(tmp_path))
+    mine = sorted(tuple(r) for r in frame.select("variable", "t", "i", "j", "value").collect())
+    assert mine == sorted(duck.sql(REGISTRY["append_store"].sql).fetchall()) and len(mine) > 600
+    (config,) = storing.built(spark, str(tmp_path), "spatial")
+    raw = RawVariable(spark, config, "view")
+    assert raw.cells().count() == 36 * (19_607 // 36 + 1) * raw.n_steps and raw.n_steps == 30
+    assert 3 < len(raw._lengths) <= 2 * 30
+
+
 def grid_file(folder, k, values, steps=1, stats=True):
     """A raw file of ``steps`` days over 2 x 2 cells, written by another tool than Spark."""
     folder.mkdir(parents=True, exist_ok=True)

@@ -166,3 +166,43 @@ def test_cells_of_blocks(spark, lone):
     cells = blocks_of(source.raw.cells(steps=(0, 1)), blocks, [blocks[3], blocks[0]])
     ends = {r.part: tuple(r)[1:] for r in cells.groupBy("part").agg(F.min("i"), F.max("i"), F.min("j"), F.max("j"), F.count("*")).collect()}
     assert ends == {0: (15, 19, 30, 39, 50), 1: (0, 14, 0, 29, 450)}
+
+
+def test_batches_are_filled_in_one_pass(spark, lone, monkeypatch):
+    """An append build reads raw once for all batches that are missing, and commits each; a resumed one likewise."""
+    config = lone(timesteps_per_commit=5)
+    passes, write = [], Store.write_parts
+
+    def counted(self, cells, n, chunks):
+        passes.append((n, cells._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")))
+        return write(self, cells, n, chunks)
+
+    monkeypatch.setattr(Store, "write_parts", counted)
+    assert build_store(spark, config) == 12 and passes == [(12, 1)] and equals_raw(spark, config)
+    store = Store.open(spark, config.store_path)
+    whole = store.ancestry()
+    assert [c.message for c in whole[-3:]] == ["write timesteps 5-9", "write timesteps 0-4", "repository initialized"]
+    assert [(c.box["t"], c.state["sizes"]["time"]) for c in whole[:2]] == [([55, 60], 60), ([50, 55], 55)]
+    store.reset(whole[-3].id)
+    few = GridConfig({**config.settings, "batches_per_pass": 4}, config.key).of("E")
+    assert build_store(spark, few) == 10 and [n for n, _ in passes] == [12, 4, 4, 2] and equals_raw(spark, config)
+    recorded, lying = store.written(), store.files(store.data_folders())
+    assert recorded.exceptAll(lying.select(*recorded.columns)).isEmpty() and recorded.count() == lying.count()
+    assert not store.fs.list(f"{store.path}/staged")
+
+
+def test_the_tip_is_found_without_reading_the_branch(spark, tmp_path, monkeypatch):
+    """Commits read a few records each, however many there are."""
+    path, asked = str(tmp_path / "store"), []
+    store = Store.open_or_create(spark, path)
+    for k in range(70):
+        assert store._pointer()[0] == k
+        store.begin().commit(str(k))
+    fresh = Store.open(spark, path)
+    exists = fresh.fs.exists
+    monkeypatch.setattr(fresh.fs, "exists", lambda name: asked.append(name) or exists(name))
+    monkeypatch.setattr(fresh.fs, "list", lambda name: pytest.fail(f"{name} is listed"))
+    assert fresh._pointer()[0] == 70 and len(asked) <= 16
+    assert [c.message for c in fresh.ancestry()][:2] == ["69", "68"] and fresh._pointer()[0] == 70
+    fresh.state()["sizes"] = 1
+    assert fresh.state() == {}
